@@ -98,38 +98,53 @@ def _plus(c: str, a: Column, b: Column) -> Column:
     return a.bitwiseOR(b) if c in MASKS else a + b
 
 
+def _bit(*of: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(*of), F.lit(64)).cast("int"))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _judged(x: Column, rules: QualityRules) -> Column:
     """A whole line as the counts it adds."""
-    blank = x["end"] == ""
-    ended = F.instr(F.lit(TERMINALS), x["end"]) > 0
-    pair = x["head"].rlike(PAIR) & (x["len"] <= 60) & ~F.coalesce(x["end"].isin(".", "!", "?"), F.lit(False))
-    marked = x["head"].rlike(BULLET)
     cells = (x["pipes"] >= 2) | (x["tabs"] >= 2) | ((x["len"] <= 240) & ((x["semis"] >= 2) | (x["commas"] >= 2) | (x["gaps"] >= 2)))
-    table = ~blank & cells
-    paired = ~blank & ~table & pair & ~marked
-    listed = ~blank & ~table & ~paired & ((marked & (x["len"] <= 120)) | ((x["len"] <= rules.short_line) & ~(x["end"].isin(".", "?", "…") & (x["len"] > 12))))
+    pair = x["head"].rlike(PAIR) & (x["len"] <= 60) & ~x["end"].isin(".", "!", "?")
+    item = (x["len"] <= rules.short_line) & ~(x["end"].isin(".", "?", "…") & (x["len"] > 12))
+    marked = x["head"].rlike(BULLET)
+    # kinds: 0 blank, 1 table, 2 key: value, 3 list item, 4 prose
     one = lambda c: F.when(c, 1).otherwise(0)
-    size = lambda c: F.when(c, x["len"]).otherwise(0)
-    return F.struct(
-        one(~blank).alias("lines"), one(blank).alias("blanks"), one(~blank & (x["len"] <= rules.brief_line)).alias("short_lines"), one(paired).alias("pair_lines"), size(paired).alias("pair_chars"), one(~blank & ended).alias("ended"), one(listed).alias("list_lines"), one(table).alias("table_lines"), one(marked & ~blank).alias("marked_lines"),
-        size(listed).alias("list_chars"), size(table).alias("table_chars"), size(~blank & ~listed & ~table & ~paired).alias("prose_chars"),
-        F.when(blank, F.lit(0)).otherwise(_bit(x["head"], x["len"])).alias("seen"),
-    )
 
+    def counted(y: Column) -> Column:
+        k, n = y["kind"], x["len"]
+        size = lambda c: F.when(c, n).otherwise(0)
+        return F.struct(
+            one(k > 0).alias("lines"), one(k == 0).alias("blanks"), one((k > 0) & (n <= rules.brief_line)).alias("short_lines"), one(k == 2).alias("pair_lines"), size(k == 2).alias("pair_chars"),
+            one((k > 0) & (F.instr(F.lit(TERMINALS), x["end"]) > 0)).alias("ended"), one(k == 3).alias("list_lines"), one(k == 1).alias("table_lines"), one((k > 0) & y["marked"]).alias("marked_lines"),
+            size(k == 3).alias("list_chars"), size(k == 1).alias("table_chars"), size(k == 4).alias("prose_chars"),
+            F.when(k == 0, F.lit(0)).otherwise(_bit(x["head"], x["len"])).alias("seen"),
+        )
 
-WORD_SUMS = ("words", "word_chars", "common", "page", "single", "word_seen")
+    def kinds(m: Column) -> Column:
+        kind = F.when(x["end"] == "", 0).when(cells, 1).when(pair & ~m, 2).when((m & (x["len"] <= 120)) | item, 3).otherwise(4)
+        return F.struct(m.alias("marked"), kind.alias("kind"))
 
+    return _let(marked, lambda m: _let(kinds(m), counted))
+
+
+WORD_SUMS = ("words", "word_chars", "common", "page", "single", "word_seen")
 
-def _bit(*of: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(*of), F.lit(64)).cast("int"))
 
 
 def _word(length: Column, text: Column) -> Column:
-    common = sorted({w for words in COMMON_WORDS.values() for w in words})
+    common = " " + " ".join(sorted({w for words in COMMON_WORDS.values() for w in words})) + " "
     one = lambda c: F.when(c, 1).otherwise(0)
+    among = lambda words: (length > 0) & (F.instr(F.lit(words), F.concat(F.lit(" "), text, F.lit(" "))) > 0)
     return F.struct(
-        one(length > 0).alias("words"), length.alias("word_chars"), one(text.isin(common)).alias("common"),
-        one(text.isin(PAGE_WORDS)).alias("page"), one(length == 1).alias("single"), F.when(length > 0, _bit(text)).otherwise(0).alias("word_seen"),
+        one(length > 0).alias("words"), length.alias("word_chars"), one(among(common)).alias("common"),
+        one(among(" " + " ".join(PAGE_WORDS) + " ")).alias("page"), one(length == 1).alias("single"),
+        F.when(length > 0, _bit(text)).otherwise(0).alias("word_seen"),
     )
 
 
@@ -170,11 +185,6 @@ def _with_states(chunks: DataFrame, rules: QualityRules) -> DataFrame:
     )).drop("_lines", "_words", "_t", "_w", "body")
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is evaluated once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _added(sums: Column, parts: list[tuple[tuple[str, ...], Column]]) -> Column:
     """``sums`` plus the fields of each part; a null part adds nothing."""
     def total(c: str) -> Column:
@@ -228,13 +238,13 @@ def _closed(df: DataFrame, rules: QualityRules) -> DataFrame:
 
 
 #: States merged by one node of the tree.
-FAN_IN = 16
+FAN_IN = 256
 
 
 def _merge_tree(states: DataFrame, rules: QualityRules, depth: int) -> DataFrame:
     """``doc, state`` from ``doc, at, state``: each level merges at most ``FAN_IN`` neighbours."""
     for _ in range(depth):
-        states = states.groupBy("doc", F.shiftright("at", 4).alias("at")).agg(
+        states = states.groupBy("doc", F.shiftright("at", 8).alias("at")).agg(
             F.array_sort(F.collect_list(F.struct("at", "state"))).alias("s")
         ).select("doc", "at", F.aggregate(
             F.slice("s", 2, FAN_IN), F.col("s")[0]["state"], lambda acc, x: _merged(acc, x["state"], rules)).alias("state"))
