@@ -19,7 +19,7 @@ EXPAND = {
     "rep": "repertory", "cmty": "community", "comm": "community", "com": "community", "th": "theatre", "thtr": "theatre", "theater": "theatre", "thr": "theatre", "theatres": "theatre",
     "perf": "performing", "acad": "academy", "ctr": "center", "centre": "center", "mem": "memorial", "stg": "stage", "sch": "school", "elem": "elementary", "mid": "middle", "hse": "house",
     "dept": "department", "u": "university", "univ": "university", "lt": "light", "plyrs": "players", "yth": "youth", "cncl": "council", "playhse": "playhouse", "mus": "musical", "childrens": "children",
-    "hs": "high school", "ms": "middle school", "clo": "civic light opera", "apa": "academy performing arts", "pac": "performing arts center", "es": "elementary", "jct": "junction", "hts": "heights", "ft": "fort", "twp": "township", "spgs": "springs", "mt": "mount",
+    "hs": "high school", "ms": "middle school", "clo": "civic light opera", "apa": "academy performing arts", "pac": "performing arts center", "es": "elementary", "jct": "junction", "hts": "heights", "ft": "fort", "twp": "township", "spgs": "springs", "mt": "mount", "st": "saint",
 }
 # Words that name a kind of organization.
 TYPES = frozenset("repertory community theatre performing academy center memorial stage school elementary middle high house department university light players youth council playhouse musical children opera civic arts dance dinner pta drama club guild little grange".split()) - {"little", "grange"}
@@ -27,8 +27,8 @@ TYPES = frozenset("repertory community theatre performing academy center memoria
 NICKNAMES = {
     short: full
     for full, shorts in {
-        "robert": "bob bobby rob robbie", "william": "bill billy will willie liam", "richard": "rick dick rich ricky", "james": "jim jimmy jamie", "charles": "chuck charlie charley", "edward": "ed eddie ted ned",
-        "theodore": "theo teddy", "alexander": "alex alec sandy xander", "anthony": "tony", "benjamin": "ben benny benji", "samuel": "sam sammy", "daniel": "dan danny", "katherine": "kate kathy katie kay kat", "elizabeth": "liz beth betty eliza lizzie betsy",
+        "robert": "bob bobby rob robbie", "william": "bill billy will willie liam", "richard": "rick dick rich ricky", "james": "jim jimmy jamie", "charles": "chuck charlie charley", "edward": "ed eddie ned",
+        "theodore": "theo teddy ted", "alexander": "alex alec sandy xander", "anthony": "tony", "benjamin": "ben benny benji", "samuel": "sam sammy", "daniel": "dan danny", "katherine": "kate kathy katie kay kat", "elizabeth": "liz beth betty eliza lizzie betsy",
         "margaret": "maggie peggy meg marge", "patricia": "pat patty tricia patsy", "deborah": "deb debbie debby", "rebecca": "becky becca", "susan": "sue susie suzy", "christine": "chris chrissy tina christy", "thomas": "tom tommy", "michael": "mike mick mickey",
         "joseph": "joe joey", "john": "jack johnny", "david": "dave davey", "matthew": "matt", "andrew": "andy drew", "jennifer": "jen jenny", "barbara": "barb", "dorothy": "dot dottie", "nicholas": "nick", "stephen": "steve", "gregory": "greg", "timothy": "tim", "lawrence": "larry", "ronald": "ron",
     }.items()
@@ -124,6 +124,10 @@ def name_parts(name: str | None) -> tuple[str, str, str, str, str]:
             joined[-1] = "theatre"
         elif joined and joined[-1] == "children" and word == "s":
             pass
+        elif joined and joined[-1] == "el" and word in ("school", "sch", "pta", "p"):
+            joined[-1:] = ["elementary", word]
+        elif len(joined) > 1 and joined[-2:] == ["p", "t"] and word == "a":
+            joined[-2:] = ["pta"]
         else:
             joined.append(word)
     while len(joined) > 1 and joined[-1] in ("inc", "incorporated", "llc", "ltd", "limited", "assn", "society", "foundation"):
@@ -141,6 +145,8 @@ def name_parts(name: str | None) -> tuple[str, str, str, str, str]:
         kinds = [t for t in kinds if t not in ("drama", "club", "department")]
     if "elementary" in kinds:
         kinds = [t for t in kinds if t not in ("school", "drama", "club", "department")]
+    if "opera" in kinds and "house" in kinds:
+        kinds = [t for t in kinds if t not in ("arts", "council")]
     others = [t for t in tokens if t not in TYPES]
     given = next((t for t in others if t in GIVEN), "")
     if given:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import names, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,5 +23,15 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text_class") != "prose")
 
 
-QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of registry keys that mean the same organization."""
+    orgs = table(spark, sf_dir, "organizations").select("key", "name", "city", "state", "street")
+    return names.same_organization_pairs(names.linked_organizations(orgs))
+
+
+QUERIES = {
+    "p5_found": p5_found,
+    "p10_found": p10_found,
+    "p10_statistics": p10_statistics,
+}
 SQL: dict[str, str] = {}
