@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import work_dir, written
+
 # Common function words of the languages looked for.
 COMMON_WORDS = {
     "en": "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which you were her all she there would their we him been has when who will no more if out so what up its about into than them can only other new some could time these two may then do first any my now such like our over me even most made after did many before must through back where much your way well down should because each just those people how too little state good very make world still own see men work long here get both between life being under never day same another know while last might us great old year off come since against go came right used take three".split(),
@@ -304,7 +306,7 @@ def quality_statistics(
 
 
 def text_class(rules: QualityRules = QualityRules()) -> Column:
-    """``prose``, ``list``, ``table`` or ``junk`` from the statistics; ``empty`` without words or symbols."""
+    """``prose``, ``list``, ``table`` or ``junk`` from the statistics; a text without words or symbols is junk."""
     c = F.col
     blank = (c("words") == 0) & (c("symbols") == 0)
     noise = (c("symbol_ratio") > rules.symbols) & (c("table_share") < rules.structure)
@@ -333,3 +335,13 @@ def text_class(rules: QualityRules = QualityRules()) -> Column:
         .when(rare, "junk")
         .otherwise("prose")
     )
+
+
+def classified(docs: DataFrame, *, id: str = "doc_id", text: str = "text", rules: QualityRules = QualityRules(), **options) -> DataFrame:
+    """Id and ``text_class`` of each row of ``docs``.
+
+    The statistics are written to the shared folder first: the class refers to each of them many
+    times, and over a table the optimizer cannot repeat the counting in every place.
+    """
+    figures = quality_statistics(docs, id=id, text=text, rules=rules, **options)
+    return written(figures, work_dir(docs.sparkSession), "quality").select(F.col(id), text_class(rules).alias("text_class"))

@@ -19,8 +19,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that are mainly a list, a table or junk."""
-    return p10_statistics(spark, sf_dir).select("doc_id", quality.text_class().alias("text_class")).filter(
-        F.col("text_class") != "prose")
+    return quality.classified(table(spark, sf_dir, "documents").select("doc_id", "text")).filter(F.col("text_class") != "prose")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
