@@ -198,9 +198,10 @@ DIRECTIONS = {
 }
 ORDINALS = {w: str(i) for i, w in enumerate("zeroth first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth thirteenth fourteenth fifteenth sixteenth seventeenth eighteenth nineteenth twentieth".split())}
 CARDINALS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty".split())}
-_ROUTE = re.compile(r"\b(?:(county|co|cnty)\s+(?:road|rd|rte|route|hwy|highway)|(c r|cr)|(state|st)\s+(?:road|rd|route|rte|hwy|highway)|(s r|sr|sh)|(us|u s|interstate|i)(?:\s+(?:hwy|highway|route|rte))?|(route|rte|rt|highway|hwy))\s+(\d+[a-z]?)\b")
-_UNIT = re.compile(r"(?:#\s*|\b(?:suite|ste|unit|apt|apartment|room|rm|floor|fl|bldg|building|no)\b\.?\s*#?\s*)([a-z]?-?\d+[a-z]?|[a-z])\b\.?")
+_ROUTE = re.compile(r"\b(?:(county|co|cnty)\s+(?:road|rd|rte|route|hwy|highway)|(c r|cr)|(state|st)\s+(?:road|rd|route|rte|rt|hwy|highway)|(s r|sr|sh)|(us|u s|interstate|i)(?:\s+(?:hwy|highway|route|rte))?|(route|rte|rt|highway|hwy))\s+(\d+[a-z]?)\b")
+_UNIT = re.compile(r"(?:#\s*|\b(?:suite|ste|unit|apt|apartment|room|rm|floor|fl|bldg|building)\b\.?\s*#?\s*)([a-z]?-?\d+[a-z]?|[a-z])\b\.?")
 _POSTAL = re.compile(r"\b(\d{5})(?:-\d{4})?\b|\b([a-z]\d[a-z])\s?(\d[a-z]\d)\b")
+_NUMBER = re.compile(r"(?:no|nr|number)\b\.?\s*(\d+[a-z]?|[a-z]+)")
 _BREAK = re.compile(r"<\s*/?\s*br\s*/?\s*>")
 
 
@@ -210,15 +211,17 @@ def _street(piece: str) -> tuple[str, str, str, str]:
     route = ""
     hit = _ROUTE.search(words)
     if hit:
-        kind = next(k for k, g in zip(("county", "county", "state", "state", "us", "route"), hit.groups()) if g)
+        kind = next(k for k, g in zip(("county", "county", "route", "route", "us", "route"), hit.groups()) if g)
         route = f"{kind}{hit.group(7)}"
         words = words[: hit.start()] + " " + words[hit.end() :]
     tokens, number, ordinal = words.split(), "", ""
     if tokens and (re.fullmatch(r"\d+[a-z]?", tokens[0]) or (tokens[0] in CARDINALS and (len(tokens) > 1 or route))):
         number = CARDINALS.get(tokens[0], tokens[0])
         tokens = tokens[1:]
-    elif tokens and re.fullmatch(r"\d+[a-z]?", tokens[-1]):
-        number, tokens = tokens[-1], tokens[:-1]
+    elif tokens and (re.fullmatch(r"\d+[a-z]?", tokens[-1]) or (tokens[-1] in CARDINALS and len(tokens) > 2)):
+        number, tokens = CARDINALS.get(tokens[-1], tokens[-1]), tokens[:-1]
+        if tokens and tokens[-1] in ("no", "nr", "number"):
+            tokens = tokens[:-1]
     way = direction = ""
     name: list[str] = []
     for i, word in enumerate(tokens):
@@ -260,6 +263,7 @@ def address_parts(text: str | None) -> tuple[str, str, str, str, str, str, str,
             continue
         pieces += segment.split(",")
     found = ("", "", "", "", "")
+    loose, apart = ("", "", "", ""), ""
     for piece in pieces:
         piece = piece.strip()
         if not piece:
@@ -268,6 +272,10 @@ def address_parts(text: str | None) -> tuple[str, str, str, str, str, str, str,
         if hit and re.fullmatch(r"[a-z. ]*", piece[: hit.start()] + piece[hit.end() :]) and hit.start() > 0:
             postal = postal or hit.group(1) or (hit.group(2) + hit.group(3))
             continue
+        hit = _NUMBER.fullmatch(piece)
+        if hit:
+            apart = apart or CARDINALS.get(hit.group(1), hit.group(1))
+            continue
         hit = _UNIT.search(piece)
         if hit and (piece[: hit.start()].strip() == "" or re.search(r"[a-z]", piece[: hit.start()])):
             unit, piece = unit or hit.group(1), (piece[: hit.start()] + " " + piece[hit.end() :]).strip()
@@ -282,6 +290,10 @@ def address_parts(text: str | None) -> tuple[str, str, str, str, str, str, str,
         number, name, way, direction = _street(piece)
         if number and name and len(name) > 1:
             found = ("street", number, name, way, direction)
+        elif name and way and not loose[1]:
+            loose = (number, name, way, direction)
+    if not found[0] and loose[1] and apart:
+        found = ("street", apart, *loose[1:])
     return (*found, unit, postal, city, state)
 
 
@@ -299,7 +311,7 @@ def assigned(a: tuple[str, ...], b: tuple[str, ...]) -> float:
             return len(x)
         most = 0 if min(len(x), len(y)) < 4 or x[:1].isdigit() or re.search(r"\d", x + y) else 1 if min(len(x), len(y)) < 9 else 2
         d = edits(x, y, most) if most else most + 1
-        return len(x) - d if d <= most else 0
+        return max(len(x), len(y)) - d if d <= most else 0
 
     table = [[worth(x, y) for y in long] for x in short]
     best = max(sum(table[i][j] for i, j in enumerate(order)) for order in permutations(range(len(long)), len(short)))

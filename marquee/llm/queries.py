@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import names, quality
+from ..operators.spatial import containing_region
+from . import addresses, entity_match, names, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +29,41 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.same_organization_pairs(names.linked_organizations(orgs))
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings and concord productions in the same building."""
+    town = F.regexp_extract(F.coalesce("location_text", F.lit("")), r"^([^,]*)", 1)
+    listings = table(spark, sf_dir, "mti_listings").select("id", "address", town.alias("city"), "lat", "lng")
+    shows = table(spark, sf_dir, "productions").filter(F.col("source") == "concord").select(F.col("key").alias("id"), F.col("street").alias("address"), "city", "lat", "lng")
+    return addresses.match_addresses(listings, shows).select(F.col("id_l").alias("id"), F.col("id_r").alias("key"))
+
+
+def _with_mapped_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Productions whose blank state is filled from the region round their coordinates."""
+    rows = table(spark, sf_dir, "productions").select("key", "source", "organization", "street", "city", "state", "lat", "lng")
+    regions = table(spark, sf_dir, "state_regions")
+    spot = F.xxhash64("lat", "lng")
+    blank = F.trim(F.coalesce("state", F.lit(""))) == ""
+    points = rows.filter(blank & F.col("lat").isNotNull()).select(spot.alias("spot"), "lat", "lng").distinct()
+    mapped = containing_region(points, regions, id="spot").select(F.col("id").alias("spot"), "region").join(
+        regions.select(F.col("region_id").alias("region"), F.col("state").alias("mapped")), "region").drop("region")
+    return rows.withColumn("spot", spot).join(mapped, "spot", "left").withColumn(
+        "state", F.when(blank, F.coalesce("mapped", F.lit(""))).otherwise(F.col("state"))).drop("spot", "mapped", "lat", "lng")
+
+
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each production's organization over all sources, with rule and confidence."""
+    return entity_match.matched_records(_with_mapped_state(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of productions of different sources that one organization puts on."""
+    return entity_match.cross_source_pairs(p3_links(spark, sf_dir))
+
+
 QUERIES = {
+    "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p3_links": p3_links,
     "p5_found": p5_found,
     "p10_found": p10_found,
     "p10_statistics": p10_statistics,
