@@ -54,7 +54,7 @@ def drop_written(spark: SparkSession, path: str) -> None:
 
 def size_in_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; for a written table that is its file size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
