@@ -201,7 +201,7 @@ CARDINALS = {w: str(i) for i, w in enumerate("zero one two three four five six s
 _ROUTE = re.compile(r"\b(?:(county|co|cnty)\s+(?:road|rd|rte|route|hwy|highway)|(c r|cr)|(state|st)\s+(?:road|rd|route|rte|rt|hwy|highway)|(s r|sr|sh)|(us|u s|interstate|i)(?:\s+(?:hwy|highway|route|rte))?|(route|rte|rt|highway|hwy))\s+(\d+[a-z]?)\b")
 _UNIT = re.compile(r"(?:#\s*|\b(?:suite|ste|unit|apt|apartment|room|rm|floor|fl|bldg|building)\b\.?\s*#?\s*)([a-z]?-?\d+[a-z]?|[a-z])\b\.?")
 _POSTAL = re.compile(r"\b(\d{5})(?:-\d{4})?\b|\b([a-z]\d[a-z])\s?(\d[a-z]\d)\b")
-_NUMBER = re.compile(r"(?:no|nr|number)\b\.?\s*(\d+[a-z]?|[a-z]+)")
+_NUMBER = re.compile(r"(?:no|nr|number)\b\.?\s*(\d+[a-z]?|[a-z]+)(?:\s*(?:#|suite|ste|unit|apt|room|rm)\b.*|\s*#.*)?")
 _BREAK = re.compile(r"<\s*/?\s*br\s*/?\s*>")
 
 
@@ -218,7 +218,7 @@ def _street(piece: str) -> tuple[str, str, str, str]:
     if tokens and (re.fullmatch(r"\d+[a-z]?", tokens[0]) or (tokens[0] in CARDINALS and (len(tokens) > 1 or route))):
         number = CARDINALS.get(tokens[0], tokens[0])
         tokens = tokens[1:]
-    elif tokens and (re.fullmatch(r"\d+[a-z]?", tokens[-1]) or (tokens[-1] in CARDINALS and len(tokens) > 2)):
+    elif tokens and (re.fullmatch(r"\d+[a-z]?", tokens[-1]) or (tokens[-1] in CARDINALS and len(tokens) > 1)):
         number, tokens = CARDINALS.get(tokens[-1], tokens[-1]), tokens[:-1]
         if tokens and tokens[-1] in ("no", "nr", "number"):
             tokens = tokens[:-1]
@@ -290,7 +290,7 @@ def address_parts(text: str | None) -> tuple[str, str, str, str, str, str, str,
         number, name, way, direction = _street(piece)
         if number and name and len(name) > 1:
             found = ("street", number, name, way, direction)
-        elif name and way and not loose[1]:
+        elif name and not apart and (way or not loose[2]):
             loose = (number, name, way, direction)
     if not found[0] and loose[1] and apart:
         found = ("street", apart, *loose[1:])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.spatial import containing_region
-from . import addresses, entity_match, names, quality
+from . import addresses, entity_match, history, names, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.match_addresses(listings, shows).select(F.col("id_l").alias("id"), F.col("id_r").alias("key"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of later batches, or of one batch, that tell a production already told."""
+    return history.linked_batches(table(spark, sf_dir, "productions").select(
+        "seq", "key", "source", "show_title", "organization", "venue", "street", "city", "start_date", "end_date", "loaded_at"))
+
+
 def _with_mapped_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Productions whose blank state is filled from the region round their coordinates."""
     rows = table(spark, sf_dir, "productions").select("key", "source", "organization", "street", "city", "state", "lat", "lng")
@@ -62,6 +68,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_links": p3_links,
     "p5_found": p5_found,
