@@ -46,6 +46,21 @@ def written(df: DataFrame, folder: str, name: str, *partition: str) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Ledger:
+    """A table in the shared folder that batches are appended to."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str, schema: str):
+        self.spark, self.path = spark, f"{folder}/{name}"
+        self.schema = spark.createDataFrame([], schema).schema
+        self.append(spark.createDataFrame([], schema))
+
+    def append(self, rows: DataFrame) -> None:
+        rows.select(*self.schema.names).write.mode("append").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def drop_written(spark: SparkSession, path: str) -> None:
     """Delete a folder made by :func:`written` once nothing reads it any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
