@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.spatial import containing_region
-from . import addresses, entity_match, history, names, quality
+from . import addresses, entity_match, fusion, history, names, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq", "key", "source", "show_title", "organization", "venue", "street", "city", "start_date", "end_date", "loaded_at"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept value of each disputed field of registry keys with several rows."""
+    orgs = table(spark, sf_dir, "organizations").select("key", "name", "website", "website_source", "email", "contact_checked")
+    return fusion.fused(fusion.registry_claims(orgs)).filter(F.col("values") > 1).select("key", "field", "kept")
+
+
 def _with_mapped_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Productions whose blank state is filled from the region round their coordinates."""
     rows = table(spark, sf_dir, "productions").select("key", "source", "organization", "street", "city", "state", "lat", "lng")
@@ -72,7 +78,10 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_links": p3_links,
     "p5_found": p5_found,
+    "p6_found": p6_found,
     "p10_found": p10_found,
     "p10_statistics": p10_statistics,
 }
-SQL: dict[str, str] = {}
+from .sql import SQL  # noqa: E402
+
+__all__ = ["QUERIES", "SQL"]
