@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.spatial import containing_region
-from . import addresses, entity_match, fusion, history, names, quality
+from . import addresses, entity_match, fusion, history, mixing, names, packing, quality, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,25 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.fused(fusion.registry_claims(orgs)).filter(F.col("values") > 1).select("key", "field", "kept")
 
 
+PACK = "standard"
+
+
+def _sized(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return tokens.with_tokens(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
+
+
+def p8_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pack of the standard size."""
+    capacity = table(spark, sf_dir, "pack_sizes").filter(F.col("pack_name") == PACK).first()["capacity_tokens"]
+    packs = packing.packed(_sized(spark, sf_dir), capacity)
+    return packs.select(F.col("doc").cast("long").alias("doc_id"), "part", "parts", "tokens", "pack")
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to take from each source, with repeats and the share reached."""
+    return mixing.mixed(_sized(spark, sf_dir, "source"), table(spark, sf_dir, "mix_targets"))
+
+
 def _with_mapped_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Productions whose blank state is filled from the region round their coordinates."""
     rows = table(spark, sf_dir, "productions").select("key", "source", "organization", "street", "city", "state", "lat", "lng")
@@ -79,6 +98,8 @@ QUERIES = {
     "p3_links": p3_links,
     "p5_found": p5_found,
     "p6_found": p6_found,
+    "p8_packs": p8_packs,
+    "p9_mix": p9_mix,
     "p10_found": p10_found,
     "p10_statistics": p10_statistics,
 }
