@@ -19,6 +19,7 @@ from ..functions.text import state_code, strip
 from ..operators.components import connected_components
 from ..session import small, work_dir, written
 from . import canon, names
+from .udfs import batch_udf
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,7 @@ SOURCES = ("concord", "mti", "trw")
 PRIOR = (4.0, 5.0)
 
 
-@F.pandas_udf("near_core array<string>, near_place array<string>")
+@batch_udf("near_core array<string>, near_place array<string>")
 def _near(core: pd.Series, place: pd.Series) -> pd.DataFrame:
     lacking = lambda t: sorted(canon.deletions(t)) if t and len(t) >= 5 else []
     return pd.DataFrame({"near_core": core.map(lacking), "near_place": place.map(lacking)})

@@ -20,6 +20,7 @@ from ..functions.text import strip
 from ..operators.components import connected_components
 from ..session import Ledger, small, work_dir, written
 from . import canon, names
+from .udfs import batch_udf
 
 #: Days by which two tellings of one run may differ, and days of a date block.
 DAYS_APART = 2
@@ -38,12 +39,12 @@ ROW = T.StructType([T.StructField("seq", T.LongType()), T.StructField("source",
     *(T.StructField(f, T.StringType()) for f in FIELDS), T.StructField("d1", T.IntegerType()), T.StructField("d2", T.IntegerType())])
 
 
-@F.pandas_udf("title string, edition string")
+@batch_udf("title string, edition string")
 def _title(titles: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([canon.title_parts(t) for t in titles], columns=["title", "edition"])
 
 
-@F.pandas_udf("string")
+@batch_udf("string")
 def _words(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: canon.locality(t))
 
