@@ -30,16 +30,37 @@ TERMINALS = ".!?…。؟\"»”'’)]:;"
 
 BULLET = r"^(?:[-*•·–—▪◦‣+]|\(?\d{1,4}[.)\]:]|\(?[A-Za-z][.)])\s"
 PAIR = r"^[\p{L}](?:[\p{L} _-]{0,23}[\p{L}])?:(?: |$)"
-#: Patterns of up to three characters; name, pattern.
-GRAMS = (
-    ("semis", r"; "), ("slashes", r" / "), ("commas", r", "), ("dots", r"[.!?…]\s"),
-    ("broken", r"[ÃÂ][\p{L}\p{Lo}\p{P}\p{S}  ]|â€"), ("masked", r"\p{L}[#^|~@$10*][\p{L}#^|~1]"),
-    ("code", r"[{}<>=]|&[a-z#]|\(\)|;\}"),
-)
-LINE_GRAMS = (("tabs", r"\t"), ("pipes", r"\|"), ("semis", r";[^ ]"), ("commas", r",[^ ]"), ("gaps", r"[^ ]  "))
+def _n(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern))
+
+
+def _plain(text: Column, part: str) -> Column:
+    """Occurrences of a fixed string, by length: no regular expression runs."""
+    return ((F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)).cast("int")
+
+
+def _where(guard: Column, count: Column) -> Column:
+    return F.when(guard, count).otherwise(0)
+
+
+def _any(text: Column, *parts: str) -> Column:
+    return reduce(lambda x, y: x | y, (text.contains(p) for p in parts))
+
+
+#: Counts of patterns of up to three characters in a text, by name.
+GRAMS = {
+    "semis": lambda t: _plain(t, "; "), "slashes": lambda t: _plain(t, " / "), "commas": lambda t: _plain(t, ", "), "dots": lambda t: _n(t, r"[.!?…]\s"),
+    "broken": lambda t: _where(_any(t, "Ã", "Â", "â€"), _n(t, r"[ÃÂ][\p{L}\p{Lo}\p{P}\p{S}\u00a0 ]|â€")),
+    "masked": lambda t: _n(t, r"(?<=\p{L})[#^|~@$10*][\p{L}#^|~1]"),
+    "code": lambda t: _where(t.rlike("[{}<>=&]"), _n(t, r"[{}<>=]|&[a-z#]|\(\)|;\}")),
+}
+LINE_GRAMS = {
+    "tabs": lambda t: _plain(t, "\t"), "pipes": lambda t: _plain(t, "|"), "semis": lambda t: _where(t.contains(";"), _n(t, ";[^ ]")),
+    "commas": lambda t: _where(t.contains(","), _n(t, ",[^ ]")), "gaps": lambda t: _where(t.contains("  "), _n(t, "[^ ]  ")),
+}
 SUMS = (
     "n_chars", "spaces", "symbols", "digits", "rare_letters", "blanks", "short_lines", "pair_lines", "pair_chars", "words", "word_chars", "common", "page", "single", "lines", "ended",
-    "list_lines", "table_lines", "marked_lines", "list_chars", "table_chars", "prose_chars", *(g for g, _ in GRAMS), "seen", "word_seen",
+    "list_lines", "table_lines", "marked_lines", "list_chars", "table_chars", "prose_chars", *GRAMS, "seen", "word_seen",
 )
 #: Not counts: 64-bit masks of line and word hashes, merged by OR; their set bits estimate variety.
 MASKS = ("seen", "word_seen")
@@ -64,22 +85,18 @@ class QualityRules:
     inline_words: float = 6.0
 
 
-def _n(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern))
-
-
 def _line(text: Column) -> Column:
     """Composable features of a line or of a piece of one."""
     return F.struct(
         F.length(text).alias("len"), F.substring(F.ltrim(text), 1, 40).alias("head"), F.right(text, F.lit(2)).alias("last2"),
         F.left(text, F.lit(2)).alias("first2"), F.right(F.rtrim(text), F.lit(1)).alias("end"),
-        *(_n(text, p).alias(g) for g, p in LINE_GRAMS),
+        *(f(text).alias(g) for g, f in LINE_GRAMS.items()),
     )
 
 
-def _across(a: Column, b: Column, pattern: str) -> Column:
+def _across(a: Column, b: Column, count) -> Column:
     """Matches that only exist across the seam of ``a`` (its last two) and ``b`` (first two)."""
-    return _n(F.concat(a, b), pattern) - _n(a, pattern) - _n(b, pattern)
+    return count(F.concat(a, b)) - count(a) - count(b)
 
 
 def _join_lines(a: Column, b: Column) -> Column:
@@ -89,7 +106,7 @@ def _join_lines(a: Column, b: Column) -> Column:
             a["head"], F.when((a["head"] != "") & b["first2"].startswith(" "), " ").otherwise(""), b["head"]), F.lit(40))).otherwise(a["head"]).alias("head"),
         F.right(F.concat(a["last2"], b["last2"]), F.lit(2)).alias("last2"), F.left(F.concat(a["first2"], b["first2"]), F.lit(2)).alias("first2"),
         F.when(b["end"] == "", a["end"]).otherwise(b["end"]).alias("end"),
-        *((a[g] + b[g] + _across(a["last2"], b["first2"], p)).alias(g) for g, p in LINE_GRAMS),
+        *((a[g] + b[g] + _across(a["last2"], b["first2"], p)).alias(g) for g, p in LINE_GRAMS.items()),
     )
 
 
@@ -164,20 +181,20 @@ def _with_states(chunks: DataFrame, rules: QualityRules) -> DataFrame:
         full, F.struct(*(F.lit(0).cast("long").alias(c) for c in LINE_SUMS)),
         lambda acc, x: F.struct(*(_plus(c, acc[c], x[c]).cast("long").alias(c) for c in LINE_SUMS)))
     piece = lambda w: F.struct(F.length(w).alias("len"), F.left(w, F.lit(32)).alias("text"))
-    letters = F.length(F.regexp_replace("body", r"[^\p{L}\p{N}\p{M}]+", ""))
+    letters = F.length(F.array_join("_words", ""))
     df = df.withColumn("_t", total).withColumn("_w", inner_words)
     first, last = words[0], F.element_at(words, -1)
     outer_chars = F.length(first) + F.when(m > 1, F.length(last)).otherwise(0)
     values = {
-        "n_chars": F.length("body"), "spaces": _n(F.col("body"), " "),
-        "symbols": F.length(F.regexp_replace("body", r"[\p{L}\p{N}\p{M}\s.,;:!?'\"’“”«»()-]+", "")),
-        "digits": F.length(F.regexp_replace("body", r"[^0-9]+", "")),
-        "rare_letters": _n(F.lower("body"), r"[jqxz]"),
+        "n_chars": F.length("body"), "spaces": _plain(F.col("body"), " "),
+        "symbols": _n(F.col("body"), r"[^\p{L}\p{N}\p{M}\s.,;:!?'\"’“”«»()-]"),
+        "digits": _n(F.col("body"), "[0-9]"),
+        "rare_letters": _n(F.col("body"), "[jqxzJQXZ]"),
         "words": F.size("_w"), "word_chars": letters - outer_chars,
         "common": F.size(F.filter("_w", lambda w: w.isin(common))), "page": F.size(F.filter("_w", lambda w: w.isin(PAGE_WORDS))),
         "single": F.size(F.filter("_w", lambda w: F.length(w) == 1)),
         "word_seen": F.aggregate(F.array_distinct("_w"), F.lit(0).cast("long"), lambda acc, w: acc.bitwiseOR(_bit(F.left(w, F.lit(32))))),
-        **{c: F.col("_t")[c] for c in LINE_SUMS}, **{g: _n(F.col("body"), p) for g, p in GRAMS},
+        **{c: F.col("_t")[c] for c in LINE_SUMS}, **{g: f(F.col("body")) for g, f in GRAMS.items()},
     }
     return df.withColumn("state", F.struct(
         F.struct(*(long(values[c]).alias(c) for c in SUMS)).alias("sums"),
@@ -200,7 +217,7 @@ def _merged(a: Column, b: Column, rules: QualityRules) -> Column:
     """The state of two neighbouring pieces of text; associative."""
     word = lambda x, y: F.struct((x["len"] + y["len"]).alias("len"), F.left(F.concat(x["text"], y["text"]), F.lit(32)).alias("text"))
     sums = F.struct(*(_plus(c, a["sums"][c], b["sums"][c]).alias(c) for c in SUMS))
-    grams = F.struct(*(_across(a["last2"], b["first2"], p).alias(g) for g, p in GRAMS))
+    grams = F.struct(*(_across(a["last2"], b["first2"], p).alias(g) for g, p in GRAMS.items()))
     closes_line = a["tail_line"].isNotNull() & b["tail_line"].isNotNull()
     closes_word = a["tail_word"].isNotNull() & b["tail_word"].isNotNull()
     seams = F.struct(
@@ -220,7 +237,7 @@ def _merged(a: Column, b: Column, rules: QualityRules) -> Column:
             F.when(a[f"tail_{part}"].isNull(), x["seam"][part]).otherwise(a[f"head_{part}"]).alias(f"head_{part}"),
             F.when(b[f"tail_{part}"].isNotNull(), b[f"tail_{part}"]).when(a[f"tail_{part}"].isNotNull(), x["seam"][part]).alias(f"tail_{part}"),
         )
-        parts = [(tuple(g for g, _ in GRAMS), x["seam"]["grams"]), (LINE_SUMS, x["line"]), (WORD_SUMS, x["word"])]
+        parts = [(tuple(GRAMS), x["seam"]["grams"]), (LINE_SUMS, x["line"]), (WORD_SUMS, x["word"])]
         return F.struct(
             _added(x["seam"]["sums"], parts).alias("sums"), F.left(F.concat(a["first2"], b["first2"]), F.lit(2)).alias("first2"),
             F.right(F.concat(a["last2"], b["last2"]), F.lit(2)).alias("last2"), *ends("line"), *ends("word"),
@@ -256,7 +273,9 @@ def _merge_tree(states: DataFrame, rules: QualityRules, depth: int) -> DataFrame
 def clean_text(text: Column) -> Column:
     """Odd spaces become plain ones; zero-width characters and a byte-order mark go."""
     odd = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
-    return F.translate(F.coalesce(text, F.lit("")), odd + "\u200b\u200c\u200d\u2060\ufeff\u00ad", " " * len(odd))
+    given = F.coalesce(text, F.lit(""))
+    tidy = F.translate(given, odd + "\u200b\u200c\u200d\u2060\ufeff\u00ad", " " * len(odd))
+    return F.when(given.rlike("[\\u00a0\\u00ad\\u1680\\u2000-\\u200d\\u202f\\u205f\\u2060\\u3000\\ufeff]"), tidy).otherwise(given)
 
 
 def quality_statistics(
