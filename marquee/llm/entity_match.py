@@ -1,7 +1,7 @@
 """Matching organizations across sources without a shared key: a cascade of exact rules.
 
 Each rule joins two sources on its own combination of attributes, from strict to weak. What a
-rule has matched for a pair of sources leaves both sides before the next rule. The confidence of
+rule has matched for a pair of sources is sought no more by the next rules. The confidence of
 a link is the precision of its rule, measured on the matches that independent evidence labels (a
 building that both sides name, where the rule did not use it), smoothed towards a prior.
 """
@@ -106,25 +106,28 @@ def cascade(rows: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, sourc
     other source of ``pair``, and ``rep`` stands for all records of that combination. A rule is an
     exact join of the open records with the combinations that hold both sources, found by an
     aggregation that combines map-side; so a combination of a million records gives a million
-    links, not their square. Matched records leave the pair before the next rule (anti-join).
+    links, not their square. Matched records seek no further in the pair: a later rule only takes
+    up combinations that hold a record still unmatched, which may then meet a matched one, such
+    as another spelling of its source.
     """
     known = written(records(rows), folder, "records")
     nodes = known.drop("key").dropDuplicates(["node"]).withColumn("near", _near("core", "place")).select("*", "near.*").drop("near", "core")
     opened = nodes.withColumn("other", F.explode(F.filter(F.array(*map(F.lit, sources)), lambda x: x != F.col("source")))).withColumn(
-        "pair", F.concat_ws("~", F.least("source", "other"), F.greatest("source", "other"))).drop("other")
+        "pair", F.concat_ws("~", F.least("source", "other"), F.greatest("source", "other"))).drop("other").withColumn("open", F.lit(True))
     every = opened = written(opened, folder, "open")
     links, measures = [], []
     for number, rule in enumerate(rules):
         side = _complete(opened, rule)
         by = [*rule.on, "pair"]
         checks = [F.min(rule.single).alias("s1"), F.max(rule.single).alias("s2")] if rule.single else [F.lit(0).alias("s1"), F.lit(0).alias("s2")]
-        groups = side.groupBy(*by).agg(F.min("node").alias("rep"), F.min("source").alias("o1"), F.max("source").alias("o2"), *checks).filter(
-            (F.col("o1") != F.col("o2")) & (F.coalesce(F.col("s1") == F.col("s2"), F.lit(True)))).drop("o1", "o2", "s1", "s2")
+        groups = side.groupBy(*by).agg(F.min("node").alias("rep"), F.min("source").alias("o1"), F.max("source").alias("o2"), F.max("open").alias("sought"), *checks).filter(
+            F.col("sought") & (F.col("o1") != F.col("o2")) & (F.coalesce(F.col("s1") == F.col("s2"), F.lit(True)))).drop("o1", "o2", "s1", "s2", "sought")
         matched = written(side.join(groups, by).select("node", "pair", "rep", "source", "site").withColumn("rule", F.lit(number)), folder, "links")
         links.append(matched.select("node", "pair", "rep", "rule"))
         if "site" not in rule.on:
             measures.append(_labelled(every, rule).withColumn("rule", F.lit(number)))
-        opened = written(opened.join(matched.select("node", "pair").distinct(), ["node", "pair"], "left_anti"), folder, "open")
+        hit = matched.select("node", "pair").distinct().withColumn("hit", F.lit(True))
+        opened = written(opened.join(hit, ["node", "pair"], "left").withColumn("open", F.col("open") & F.col("hit").isNull()).drop("hit"), folder, "open")
     titles = rows.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "rule int, rule_name string")
     measured = titles.join(written(reduce(DataFrame.unionByName, measures), folder, "measures"), "rule", "left").select(
         "rule", "rule_name", F.coalesce("labelled", F.lit(0)).alias("labelled"), F.coalesce("right", F.lit(0)).alias("right"))

@@ -329,7 +329,7 @@ def text_class(rules: QualityRules = QualityRules()) -> Column:
     c = F.col
     blank = (c("words") == 0) & (c("symbols") == 0)
     noise = (c("symbol_ratio") > rules.symbols) & (c("table_share") < rules.structure)
-    spaced = c("single_share") > rules.single
+    spaced = (c("single_share") > rules.single) & (c("table_share") < rules.structure)
     code = c("code_ratio") > rules.code
     typed = (c("rare_letter_ratio") > rules.rare_letters) & (c("common_share") < rules.common)
     page = c("page_share") > rules.page
