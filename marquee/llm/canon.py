@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from functools import lru_cache
-from itertools import permutations
 
 # Words of legal form and of no meaning for identity.
 NOISE = frozenset("the inc incorporated llc ltd limited corp corporation co company assn association society foundation of for at and le la les de du des el los a d l".split())
@@ -297,22 +296,59 @@ def address_parts(text: str | None) -> tuple[str, str, str, str, str, str, str,
     return (*found, unit, postal, city, state)
 
 
+def best_assignment(worth: list[list[float]]) -> float:
+    """Largest sum over one-to-one assignments of rows to columns; rows must not outnumber columns.
+
+    Shortest augmenting paths with potentials: cubic in the number of components.
+    """
+    rows, columns = len(worth), len(worth[0])
+    up, across = [0.0] * (rows + 1), [0.0] * (columns + 1)
+    owner, way = [0] * (columns + 1), [0] * (columns + 1)
+    for row in range(1, rows + 1):
+        owner[0], at = row, 0
+        least, used = [float("inf")] * (columns + 1), [False] * (columns + 1)
+        while True:
+            used[at] = True
+            step, following = float("inf"), 0
+            for c in range(1, columns + 1):
+                if used[c]:
+                    continue
+                cost = -worth[owner[at] - 1][c - 1] - up[owner[at]] - across[c]
+                if cost < least[c]:
+                    least[c], way[c] = cost, at
+                if least[c] < step:
+                    step, following = least[c], c
+            for c in range(columns + 1):
+                if used[c]:
+                    up[owner[c]] += step
+                    across[c] -= step
+                else:
+                    least[c] -= step
+            at = following
+            if not owner[at]:
+                break
+        while at:
+            owner[at] = owner[way[at]]
+            at = way[at]
+    return sum(worth[owner[c] - 1][c - 1] for c in range(1, columns + 1) if owner[c])
+
+
 def assigned(a: tuple[str, ...], b: tuple[str, ...]) -> float:
     """Share of letters matched by the best one-to-one assignment of components, 0 to 1.
 
-    A pair of components counts if it is within one edit (two from nine letters on).
+    A pair of components counts if it is within one edit (two from nine letters on); components
+    under four letters or with digits must be equal.
     """
-    if not a or not b or max(len(a), len(b)) > 7:
-        return float(a == b and bool(a))
+    if not a or not b:
+        return 0.0
     short, long = sorted((a, b), key=len)
 
     def worth(x: str, y: str) -> float:
         if x == y:
             return len(x)
-        most = 0 if min(len(x), len(y)) < 4 or x[:1].isdigit() or re.search(r"\d", x + y) else 1 if min(len(x), len(y)) < 9 else 2
+        least = min(len(x), len(y))
+        most = 0 if least < 4 or re.search(r"\d", x + y) else 1 if least < 9 else 2
         d = edits(x, y, most) if most else most + 1
-        return max(len(x), len(y)) - d if d <= most else 0
+        return max(len(x), len(y)) - d if d <= most else 0.0
 
-    table = [[worth(x, y) for y in long] for x in short]
-    best = max(sum(table[i][j] for i, j in enumerate(order)) for order in permutations(range(len(long)), len(short)))
-    return best / max(sum(map(len, a)), sum(map(len, b)))
+    return best_assignment([[worth(x, y) for y in long] for x in short]) / max(sum(map(len, a)), sum(map(len, b)))
