@@ -174,7 +174,7 @@ class HistoryIndex:
         links = self._current(near.select(F.col("a.seq").alias("x"), F.col("rep").alias("y")).unionByName(exact))
         # only rows of the batch and representatives they touch take part
         groups = connected_components(links, self.folder, a="x", b="y")
-        merged = written(groups.select(F.col("node").alias("old"), F.col("component").alias("now")).filter(F.col("old") != F.col("now")), self.folder, "merged")
+        merged = groups.select(F.col("node").alias("old"), F.col("component").alias("now")).filter(F.col("old") != F.col("now"))
         place = lambda df, c: df.join(small(merged), df[c] == F.col("old"), "left").withColumn("rep", F.coalesce("now", c)).drop("old", "now")
         self.members.append(place(batch.select("seq"), "seq"))
         self.blocks.append(place(entries.drop("rep").withColumn("own", F.col("b.seq")), "own"))
@@ -183,6 +183,8 @@ class HistoryIndex:
         step = absorbed.select(F.col("old").alias("now"), F.col("now").alias("then"))
         compressed = self.forward.join(step, "now", "left").select("old", F.coalesce("then", "now").alias("now"))
         self.forward = written(compressed.unionByName(absorbed), self.folder, "forward")
+        # lets the cleaner drop the batch's broadcasts, shuffle files and generated classes
+        self.spark.sparkContext._jvm.System.gc()
 
     def duplicates(self) -> DataFrame:
         """``seq_a, seq_b``: each row that tells a known production, with its first row."""
