@@ -33,6 +33,8 @@ THRESHOLD = 3.0
 PRIOR = 0.05
 #: Pseudo-pairs added to each count of the weights.
 EXTRA = 5.0
+#: Rows of a native key that one window takes when weights are learned.
+KEY_ROWS = 10_000
 _LETTERS = 6
 
 ROW = T.StructType([T.StructField("seq", T.LongType()), T.StructField("source", T.StringType()), T.StructField("native", T.StringType()), T.StructField("title", T.StringType()), T.StructField("edition", T.StringType()),
@@ -84,7 +86,10 @@ def learned_weights(rows: DataFrame) -> dict[str, dict[str, float]]:
         return paired.agg(*(F.count_if(_level(F.col(f), F.col(f"_{f}")) == lv).alias(f"{f}~{lv}") for f in FIELDS for lv in LEVELS)).first().asDict()
 
     keyed = rows.filter(F.col("native").isNotNull())
-    m = counted(keyed, ["source", "native"], True)
+    # a key of very many rows is spread over slices, so that none of them is one task's window
+    heavy = keyed.groupBy("source", "native").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > KEY_ROWS)
+    spread = keyed.join(heavy, ["source", "native"], "left").withColumn("slice", F.pmod(F.xxhash64("seq"), F.coalesce(F.ceil(F.col("n") / KEY_ROWS), F.lit(1)).cast("long")))
+    m = counted(spread, ["source", "native", "slice"], True)
     u = counted(keyed.withColumn("slice", F.pmod(F.xxhash64("native"), F.lit(64))), ["source", "title", "slice"], False)
     weights: dict[str, dict[str, float]] = {}
     for f in FIELDS:
