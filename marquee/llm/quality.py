@@ -289,12 +289,14 @@ def quality_statistics(
     ``chunk_chars`` bounds what one task holds of a text; ``max_chars`` only sizes the tree.
     """
     chunk_chars = max(chunk_chars, 4)
-    base = docs.select(F.col(id).alias("id"), clean_text(F.col(text)).alias("body"))
-    one = _closed(_with_states(base.filter(F.length("body") <= chunk_chars), rules), rules)
+    # parted by the raw length, before any cleaning: the long branch reads short texts no further
+    raw = F.coalesce(F.length(F.col(text)), F.lit(0))
+    tidy = lambda rows: rows.select(F.col(id).alias("id"), clean_text(F.col(text)).alias("body"))
+    one = _closed(_with_states(tidy(docs.filter(raw <= chunk_chars)), rules), rules)
     many = (
-        base.filter(F.length("body") > chunk_chars)
+        tidy(docs.filter(raw > chunk_chars))
         .withColumn("doc", F.struct(F.monotonically_increasing_id().alias("row"), F.col("id")))
-        .select("doc", "body", F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(body) - 1) div {chunk_chars} as int)"))).alias("at"))
+        .select("doc", "body", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr(f"cast((length(body) - 1) div {chunk_chars} as int)")))).alias("at"))
         .select("doc", "at", F.substring("body", F.col("at") * chunk_chars + 1, F.lit(chunk_chars)).alias("body"))
         .repartition("doc", "at")
     )
