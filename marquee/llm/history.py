@@ -3,7 +3,8 @@
 State in the shared folder: blocking keys with the compared fields of every accepted row, native
 keys with their first row, and a representative mapping (union-find with compressed paths). A
 batch probes the blocking keys, candidate pairs are scored with learned weights, and only the
-clusters it touches are merged.
+clusters it touches are merged. A misspelt title is indexed and probed under its own spelling and
+under the commoner ones it may stand for.
 """
 
 from __future__ import annotations
@@ -33,12 +34,15 @@ THRESHOLD = 3.0
 PRIOR = 0.05
 #: Pseudo-pairs added to each count of the weights.
 EXTRA = 5.0
+#: Bits that a title read as another spelling costs, for each side that has to be read so.
+SLIP = 1.0
 #: Rows of a native key that one window takes when weights are learned.
 KEY_ROWS = 10_000
 _LETTERS = 6
 
 ROW = T.StructType([T.StructField("seq", T.LongType()), T.StructField("source", T.StringType()), T.StructField("native", T.StringType()), T.StructField("title", T.StringType()), T.StructField("edition", T.StringType()),
-    *(T.StructField(f, T.StringType()) for f in FIELDS), T.StructField("d1", T.IntegerType()), T.StructField("d2", T.IntegerType())])
+    *(T.StructField(f, T.StringType()) for f in FIELDS), T.StructField("d1", T.IntegerType()), T.StructField("d2", T.IntegerType()),
+    T.StructField("likelier", T.ArrayType(T.StringType()))])
 
 
 @batch_udf("title string, edition string")
@@ -52,7 +56,7 @@ def _words(texts: pd.Series) -> pd.Series:
 
 
 def compared(rows: DataFrame, *also: str) -> DataFrame:
-    """The canonical fields of raw productions, as in ``ROW``, and the columns ``also``; rows without ``seq`` are left out."""
+    """The canonical fields of raw productions, as in ``ROW`` but for ``likelier``, and the columns ``also``; rows without ``seq`` are left out."""
     day = lambda c: F.datediff(F.col(c).cast("date"), F.lit("1970-01-01").cast("date"))
     text = lambda c: strip(F.col(c)).alias(c)
     some = lambda c: F.when(c != "", c)
@@ -99,15 +103,24 @@ def learned_weights(rows: DataFrame) -> dict[str, dict[str, float]]:
     return weights
 
 
+def with_likelier_titles(rows: DataFrame, folder: str) -> DataFrame:
+    """``rows`` with ``likelier``: the commoner titles of the same source and edition within the title's allowed edits."""
+    told = written(names.likelier_texts(rows.select("source", "edition", "title"), "title", ["source", "edition"]), folder, "titles")
+    return rows.join(small(told), ["source", "edition", "title"], "left")
+
+
 def _blocks(probe: bool) -> Column:
-    """Blocking keys: source, title, edition, a run's first or last days, and place, organization or venue."""
-    none = F.array().cast("array<bigint>")
+    """Blocking keys with ``slip``: source, title or a likelier one (``slip`` 1), edition, a run's first or last days,
+    and place, organization or venue."""
+    none = F.array().cast("array<struct<block:bigint,slip:int>>")
+    titles = F.concat(F.array(F.struct(F.col("title").alias("t"), F.lit(0).alias("slip"))), F.transform(
+        F.coalesce("likelier", F.array().cast("array<string>")), lambda t: F.struct(t.alias("t"), F.lit(1).alias("slip"))))
 
     def keys(mark: str, day: Column, by: Column) -> Column:
         slot = F.floor(day / (DAYS_APART + 1))
         slots = F.sequence(slot - 1, slot + 1) if probe else F.array(slot)
-        of = lambda s: F.xxhash64(F.lit(mark), "source", "title", "edition", by, s)
-        return F.when(day.isNotNull() & by.isNotNull(), F.transform(slots, of)).otherwise(none)
+        of = lambda t, s: F.struct(F.xxhash64(F.lit(mark), "source", t["t"], "edition", by, s).alias("block"), t["slip"].alias("slip"))
+        return F.when(day.isNotNull() & by.isNotNull(), F.flatten(F.transform(titles, lambda t: F.transform(slots, lambda s: of(t, s))))).otherwise(none)
 
     by = {"p": F.col("place"), "o": F.left(F.col("org"), F.lit(_LETTERS)), "v": F.col("venue")}
     return F.array_distinct(F.concat(*(keys(m + k, F.col(d), c) for m, d in (("s", "d1"), ("e", "d2")) for k, c in by.items())))
@@ -115,6 +128,7 @@ def _blocks(probe: bool) -> Column:
 
 def _log_odds(weights: dict[str, dict[str, float]]) -> Column:
     score = F.lit(math.log2(PRIOR / (1 - PRIOR)) + 8.0)  # 8 bits: one title, source and run among all rows of a block
+    score = score - SLIP * (F.col("a_slip") + F.col("b_slip"))
     for f in FIELDS:
         level = _level(F.col(f"a.{f}"), F.col(f"b.{f}"))
         part = F.lit(0.0)
@@ -148,7 +162,7 @@ class HistoryIndex:
     def __init__(self, spark: SparkSession, folder: str, weights: dict[str, dict[str, float]]):
         self.spark, self.folder, self.weights = spark, folder, weights
         told = "struct<seq:bigint," + ",".join(f"{f}:string" for f in FIELDS) + ",d1:int,d2:int>"
-        self.blocks = Ledger(spark, folder, "blocks", f"block bigint, b {told}, rep bigint")
+        self.blocks = Ledger(spark, folder, "blocks", f"block bigint, b_slip int, b {told}, rep bigint")
         self.exact = Ledger(spark, folder, "exact", "k bigint, rep bigint")
         self.members = Ledger(spark, folder, "members", "seq bigint, rep bigint")
         self.forward = spark.createDataFrame([], "old bigint, now bigint")
@@ -171,8 +185,8 @@ class HistoryIndex:
         exact = keys.join(small(known), "k").select(F.col("seq").alias("x"), F.coalesce("older", "first").alias("y"))
         new = batch.join(small(known.filter(F.col("older").isNull()).select(F.col("k").alias("telling"), F.col("first").alias("seq"))), ["telling", "seq"])
         fields = F.struct("seq", *FIELDS, "d1", "d2")
-        entries = new.select(F.explode(_blocks(False)).alias("block"), fields.alias("b"), F.col("seq").alias("rep"))
-        probes = new.select(F.explode(_blocks(True)).alias("block"), fields.alias("a"))
+        entries = new.select(F.explode(_blocks(False)).alias("k"), fields.alias("b"), F.col("seq").alias("rep")).select("k.block", F.col("k.slip").alias("b_slip"), "b", "rep")
+        probes = new.select(F.explode(_blocks(True)).alias("k"), fields.alias("a")).select("k.block", F.col("k.slip").alias("a_slip"), "a")
         # a pair met in several blocks is one link: distinct after the score
         near = self.blocks.read().unionByName(entries).join(small(probes), "block").filter(
             (F.col("a.seq") > F.col("b.seq")) & _run_agrees()).filter(_log_odds(self.weights) >= THRESHOLD)
@@ -201,7 +215,8 @@ class HistoryIndex:
 def linked_batches(rows: DataFrame, *, batch_day: str = "loaded_at") -> DataFrame:
     """``seq_a, seq_b`` after accepting ``rows`` day by day, in the order of ``batch_day``.
 
-    The weights are learned on the first batch. A repeated ``seq`` counts once. A null day goes with the first batch. The list of
+    The weights are learned on the first batch; which titles are likelier is counted over all rows,
+    once per distinct title. A repeated ``seq`` counts once. A null day goes with the first batch. The list of
     days, not of rows, is read by the driver.
     """
     spark = rows.sparkSession
@@ -211,7 +226,8 @@ def linked_batches(rows: DataFrame, *, batch_day: str = "loaded_at") -> DataFram
     if lowest is None:
         return spark.createDataFrame([], "seq_a long, seq_b long")
     once = rows.dropDuplicates(["seq"]).withColumn("_day", F.coalesce(day, F.lit(lowest)))
-    staged = written(compared(once, "_day").withColumnRenamed("_day", "day").repartition("day", F.pmod("seq", F.lit(4))), folder, "staged", "day")
+    told = written(compared(once, "_day").withColumnRenamed("_day", "day"), folder, "compared")
+    staged = written(with_likelier_titles(told, folder).repartition("day", F.pmod("seq", F.lit(4))), folder, "staged", "day")
     days = sorted(r[0] for r in staged.select("day").distinct().collect())
     index = HistoryIndex(spark, folder, learned_weights(staged.filter(F.col("day") == F.lit(days[0]))))
     for d in days:

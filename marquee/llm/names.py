@@ -82,6 +82,17 @@ def segment_join(rows: DataFrame, id: str, text: str, block: list[str], *, most:
     return near.select(F.least("lrep", "rrep").alias("a"), F.greatest("lrep", "rrep").alias("b")).distinct()
 
 
+def likelier_texts(rows: DataFrame, text: str, block: list[str]) -> DataFrame:
+    """``*block, text, likelier``: each distinct text that has commoner ones within its allowed edits, and these.
+
+    Of two near texts only the rarer one names the other (equal counts: the greater string), so a
+    common text lists nothing, however many slips of it there are, and any near pair shares a text.
+    """
+    counted = rows.filter(F.coalesce(F.length(text), F.lit(0)) > 0).groupBy(*block, text).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = segment_join(counted.withColumn("_id", F.struct((-F.col("_n")).alias("n"), text, *block)), "_id", text, block)
+    return pairs.select(*(F.col("b")[c].alias(c) for c in (*block, text)), F.col("a")[text].alias("_a")).groupBy(*block, text).agg(F.sort_array(F.collect_set("_a")).alias("likelier"))
+
+
 def _edits(n: Column, most: int) -> Column:
     return F.least(F.lit(most), F.when(n < 4, 0).when(n < 12, 1).otherwise(2))
 

@@ -81,3 +81,13 @@ def test_history(spark):
     assert {p for p in got if p[1] < 100} == {(1, 2), (1, 3), (1, 6)}
     assert {p for p in got if p[1] >= 100} == {(100 + i - 1, 100 + i) for i in range(1, 80, 2)}
     assert history.linked_batches(df.limit(0)).count() == 0
+
+
+def test_history_misspelt_title(spark):
+    d, day = date(2026, 9, 1), datetime(2026, 7, 1, 5)
+    telling = lambda n, title, where=0: (n, f"mti:{n}", "mti", title, f"Sample{where} Players", f"Hall{where}", f"{where} Low St", f"Exampleton{where}", d, d, day)
+    titles = ["The Ferryman's Locket", "The Ferrymman's Locket", "The Ferymann's Locket", "The Ferrymman's Locket (School Edition)", "The Ferryman's Pocket Watch"]
+    rows = [telling(i, t) for i, t in enumerate(titles)] + [telling(100 + i, titles[0], i + 1) for i in range(40)] + [telling(200, titles[1], 99)]
+    schema = "seq long, key string, source string, show_title string, organization string, venue string, street string, city string, start_date date, end_date date, loaded_at timestamp"
+    got = {(r.seq_a, r.seq_b) for r in history.linked_batches(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {(0, 1), (0, 2)}
