@@ -1,8 +1,8 @@
 """Postal addresses of one building written differently.
 
 Addresses become components (number, street words, way, direction, unit, postcode, place). An
-index over the street's longest word and all forms of it that lack one letter, inside a block,
-finds candidates; a pair is verified by the best one-to-one assignment of its street components,
+index over every street word of four letters or more and all forms of its beginning that lack up
+to two letters, inside a block and under one number, finds candidates; a pair is verified by the best one-to-one assignment of its street components,
 with vetoes for another number and, where asked for, another unit.
 """
 
@@ -24,6 +24,8 @@ CELL = 0.1
 PLACE_REACH = 4
 #: Degrees beyond its border at which a point also counts for the neighbouring cell.
 MARGIN = 0.02
+#: Letters at the beginning of a word whose forms are indexed: words within two edits share one of them.
+PREFIX = 6
 #: Least share of letters that the assignment must match.
 LEAST = 0.7
 
@@ -40,13 +42,17 @@ def _locality(cities: pd.Series) -> pd.Series:
 
 @batch_udf("array<string>")
 def _forms(names: pd.Series) -> pd.Series:
-    """Deletion neighbourhood of the longest word of each street; exact for words with digits."""
+    """Beginnings that lack up to two letters of each word of a street; words under four letters
+    stand for themselves where it has no longer one, and words with digits always do."""
 
     def of(name: str) -> list[str]:
         found: set[str] = set()
         for street in name.split("/"):
-            word = max(street.split(), key=lambda w: (len(w), w), default="")
-            found |= {word} if len(word) < 4 or re.search(r"\d", word) else canon.deletions(word)
+            words = street.split()
+            spelled = [w for w in words if len(w) >= 4 and not re.search(r"\d", w)]
+            for word in spelled:
+                found |= {f for form in canon.deletions(word[:PREFIX]) for f in canon.deletions(form)}
+            found |= {w for w in words if re.search(r"\d", w) or not spelled}
         return sorted(found - {""})
 
     return names.map(of)
@@ -81,7 +87,7 @@ def address_records(rows: DataFrame, folder: str, *, id: str, address: str, city
 
 
 def _index(places: DataFrame, tag: str, *, spread: bool) -> DataFrame:
-    """Entries ``block, number, word`` of each place; with ``spread`` also for cells close by."""
+    """Entries (hash of block, number and form) of each place; with ``spread`` also for cells close by."""
     own = F.when(F.col("cy").isNotNull(), F.array(F.concat_ws(":", F.col("cy").cast("string"), F.col("cx").cast("string"))))
     none = F.array().cast("array<string>")
     blocks = F.concat(
@@ -89,9 +95,9 @@ def _index(places: DataFrame, tag: str, *, spread: bool) -> DataFrame:
         F.when(F.col("postal") != "", F.array(F.concat(F.lit("p:"), "postal"))).otherwise(none),
         F.when(F.col("place") != "", F.array(F.concat(F.lit("c:"), "place"))).otherwise(none),
     )
-    return places.withColumn("forms", _forms("name")).select(
-        F.col("place_key").alias(f"k_{tag}"), F.struct("form", "number", "name", "way", "direction", "unit", "cy", "cx").alias(tag), F.col("number").alias("no"), F.explode(blocks).alias("block"), "forms"
-    ).select(f"k_{tag}", tag, "no", "block", F.explode("forms").alias("word"))
+    entries = places.select("place_key", "number", F.explode(blocks).alias("block"), _forms("name").alias("forms"))
+    return entries.select(F.col("place_key").alias(f"k_{tag}"), F.col("block").startswith("c:").alias("by_name"), F.explode(
+        F.transform("forms", lambda f: F.xxhash64("block", "number", f))).alias("entry"))
 
 
 def same_building(left: tuple[DataFrame, DataFrame], right: tuple[DataFrame, DataFrame], folder: str, *, unit_veto: bool = False) -> DataFrame:
@@ -107,10 +113,13 @@ def same_building(left: tuple[DataFrame, DataFrame], right: tuple[DataFrame, Dat
     (members_l, places_l), (members_r, places_r) = left, right
     clash = lambda c: (F.col(f"l.{c}") != "") & (F.col(f"r.{c}") != "") & (F.col(f"l.{c}") != F.col(f"r.{c}"))
     far = (F.abs(F.col("l.cy") - F.col("r.cy")) > PLACE_REACH) | (F.abs(F.col("l.cx") - F.col("r.cx")) > PLACE_REACH)
-    local = ~F.col("block").startswith("c:") | ~F.coalesce(far, F.lit(False))
-    met = _index(places_l, "l", spread=False).join(_index(places_r, "r", spread=True), ["block", "no", "word"]).filter(
-        (F.col("l.form") == F.col("r.form")) & local & ~clash("direction") & ~clash("way") & (~clash("unit") if unit_veto else F.lit(True)))
-    met = met.select("k_l", "k_r", F.col("l.name").alias("name_l"), F.col("r.name").alias("name_r")).distinct()
+    local = ~F.col("by_name") | ~F.coalesce(far, F.lit(False))
+    traits = F.struct("form", "number", "name", "way", "direction", "unit", "cy", "cx")
+    # places that meet in any other block than that of the place name need not be near
+    met = _index(places_l, "l", spread=False).join(_index(places_r, "r", spread=True).drop("by_name"), "entry").groupBy("k_l", "k_r").agg(F.min("by_name").alias("by_name"))
+    met = met.join(places_l.select(F.col("place_key").alias("k_l"), traits.alias("l")), "k_l").join(places_r.select(F.col("place_key").alias("k_r"), traits.alias("r")), "k_r").filter(
+        (F.col("l.form") == F.col("r.form")) & (F.col("l.number") == F.col("r.number")) & local & ~clash("direction") & ~clash("way") & (~clash("unit") if unit_veto else F.lit(True)))
+    met = met.select("k_l", "k_r", F.col("l.name").alias("name_l"), F.col("r.name").alias("name_r"))
     same = written(met.filter(_assignment("name_l", "name_r") >= LEAST).select("k_l", "k_r"), folder, "same")
     return (
         same.join(members_l.select(F.col("id").alias("id_l"), F.col("place_key").alias("k_l")), "k_l")

@@ -336,7 +336,7 @@ def best_assignment(worth: list[list[float]]) -> float:
 def assigned(a: tuple[str, ...], b: tuple[str, ...]) -> float:
     """Share of letters matched by the best one-to-one assignment of components, 0 to 1.
 
-    A pair of components counts if it is within one edit (two from nine letters on); components
+    A pair of components counts if it is within one edit (two, a slip on each side, from six letters on); components
     under four letters or with digits must be equal.
     """
     if not a or not b:
@@ -347,7 +347,7 @@ def assigned(a: tuple[str, ...], b: tuple[str, ...]) -> float:
         if x == y:
             return len(x)
         least = min(len(x), len(y))
-        most = 0 if least < 4 or re.search(r"\d", x + y) else 1 if least < 9 else 2
+        most = 0 if least < 4 or re.search(r"\d", x + y) else 1 if least < 6 else 2
         d = edits(x, y, most) if most else most + 1
         return max(len(x), len(y)) - d if d <= most else 0.0
 

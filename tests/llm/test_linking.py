@@ -91,3 +91,11 @@ def test_history_misspelt_title(spark):
     schema = "seq long, key string, source string, show_title string, organization string, venue string, street string, city string, start_date date, end_date date, loaded_at timestamp"
     got = {(r.seq_a, r.seq_b) for r in history.linked_batches(spark.createDataFrame(rows, schema)).collect()}
     assert got == {(0, 1), (0, 2)}
+
+
+def test_addresses_slips_on_both_sides(spark):
+    schema = "id string, address string, city string, lat string, lng string"
+    left = [("a", "4189 Bareckhlo Str", "Exampleton", None, None), ("b", "2898 W Magnoia Ln", "Exampleton", None, None), ("c", "12 Old Samlpe Rd", "Exampleton", None, None), ("d", "7 Sample Harbr St", "Exampleton", None, None)]
+    right = [("1", "4189 BARSCKHOL ST.", "Exampleton", None, None), ("2", "2898 W Maggnolia Ln", "Exampleton", None, None), ("3", "12 Old Smaple Rd", "Exampleton", None, None), ("4", "7 Harbor Sample St", "Exampleton", None, None), ("5", "2898 W Mangrove Ln", "Exampleton", None, None)]
+    got = {(r.id_l, r.id_r) for r in addresses.match_addresses(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()}
+    assert got == {("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")}
