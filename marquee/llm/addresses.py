@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_dir, written
-from . import canon
+from ..session import small, work_dir, written
+from . import canon, names
 from .udfs import batch_udf
 
 _PARTS = "form string, number string, name string, way string, direction string, unit string, postal string, city string, state string"
@@ -86,6 +86,12 @@ def address_records(rows: DataFrame, folder: str, *, id: str, address: str, city
     return members.select("id", "place_key").distinct(), members.drop("id").dropDuplicates(["place_key"])
 
 
+def _with_likelier_places(left: DataFrame, right: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both tables with ``likelier``: the commoner place names of either table that ``place`` may be a slip of."""
+    told = written(names.likelier_texts(left.select("place").unionByName(right.select("place")), "place", []), folder, "localities")
+    return left.join(small(told), "place", "left"), right.join(small(told), "place", "left")
+
+
 def _index(places: DataFrame, tag: str, *, spread: bool) -> DataFrame:
     """Entries (hash of block, number and form) of each place; with ``spread`` also for cells close by."""
     own = F.when(F.col("cy").isNotNull(), F.array(F.concat_ws(":", F.col("cy").cast("string"), F.col("cx").cast("string"))))
@@ -93,7 +99,7 @@ def _index(places: DataFrame, tag: str, *, spread: bool) -> DataFrame:
     blocks = F.concat(
         F.transform(F.coalesce(F.col("cells") if spread else own, none), lambda c: F.concat(F.lit("g:"), c)),
         F.when(F.col("postal") != "", F.array(F.concat(F.lit("p:"), "postal"))).otherwise(none),
-        F.when(F.col("place") != "", F.array(F.concat(F.lit("c:"), "place"))).otherwise(none),
+        F.when(F.col("place") != "", F.transform(F.concat(F.array("place"), F.coalesce("likelier", none)), lambda c: F.concat(F.lit("c:"), c))).otherwise(none),
     )
     entries = places.select("place_key", "number", F.explode(blocks).alias("block"), _forms("name").alias("forms"))
     return entries.select(F.col("place_key").alias(f"k_{tag}"), F.col("block").startswith("c:").alias("by_name"), F.explode(
@@ -104,13 +110,15 @@ def same_building(left: tuple[DataFrame, DataFrame], right: tuple[DataFrame, Dat
     """``id_l, id_r``: records at one building.
 
     Blocks are the postcode, the place name and the cells of 0.1 degrees at the coordinate, so
-    a record whose postcode or coordinate is missing or wrong still meets its building by place.
+    a record whose postcode or coordinate is missing or wrong still meets its building by place;
+    a misspelt place name also counts as the commoner ones within its allowed edits.
     Numbers must be equal; directions and ways must not contradict; with ``unit_veto`` neither may
     units. Where only the place name brought a pair together although both have coordinates
     further apart than ``PLACE_REACH`` cells, it is another town of the name. Distinct places are
     compared, not records; their records are joined at the end.
     """
     (members_l, places_l), (members_r, places_r) = left, right
+    places_l, places_r = _with_likelier_places(places_l, places_r, folder)
     clash = lambda c: (F.col(f"l.{c}") != "") & (F.col(f"r.{c}") != "") & (F.col(f"l.{c}") != F.col(f"r.{c}"))
     far = (F.abs(F.col("l.cy") - F.col("r.cy")) > PLACE_REACH) | (F.abs(F.col("l.cx") - F.col("r.cx")) > PLACE_REACH)
     local = ~F.col("by_name") | ~F.coalesce(far, F.lit(False))

@@ -99,3 +99,11 @@ def test_addresses_slips_on_both_sides(spark):
     right = [("1", "4189 BARSCKHOL ST.", "Exampleton", None, None), ("2", "2898 W Maggnolia Ln", "Exampleton", None, None), ("3", "12 Old Smaple Rd", "Exampleton", None, None), ("4", "7 Harbor Sample St", "Exampleton", None, None), ("5", "2898 W Mangrove Ln", "Exampleton", None, None)]
     got = {(r.id_l, r.id_r) for r in addresses.match_addresses(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()}
     assert got == {("a", "1"), ("b", "2"), ("c", "3"), ("d", "4")}
+
+
+def test_addresses_misspelt_place(spark):
+    schema = "id string, address string, city string, lat string, lng string"
+    left = [("a", "471 Branabkil Avenue", "Darurrridge", None, None), ("b", "20 Larandhol Street", "Goraywcik", "30", "-100"), ("c", "5 High Street", "Darurridge", "30", "-100"), ("d", "9 Low Street", "Elsewhere", None, None)]
+    right = [("1", "471 Branabkil Avenue", "Darurridge", "30", "-100"), ("2", "20 Larandhol St", "Goraywick", None, None), ("3", "5 High St", "Darurridgge", "40", "-90"), ("4", "9 Low Street", "Darurridge", None, None)]
+    got = {(r.id_l, r.id_r) for r in addresses.match_addresses(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()}
+    assert got == {("a", "1"), ("b", "2")}
