@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import ROW_BYTES, written
 
 #: Edges up to which one task finishes the graph: at 16 bytes each, a few megabytes.
 TASK_EDGES = 200_000
@@ -48,7 +48,9 @@ def connected_components(edges: DataFrame, folder: str, *, a: str = "a", b: str
     to cut the lineage. A node with very many edges is safe: its smallest neighbour is a plain
     aggregate and its edges are never gathered into an array. Loops and repeated edges are fine;
     edges with a null end are ignored; no edges give no rows. A graph counted to have at most
-    ``task_edges`` edges is finished by union-find in one task; the result is the same.
+    ``task_edges`` edges is finished by union-find in one task; the result is the same. The result's
+    ``counted`` bounds its rows and ``measured`` its bytes (see :func:`~marquee.session.small`);
+    they hold for numeric nodes.
     """
     work = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter(
         F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v"))).distinct()
@@ -75,7 +77,7 @@ def connected_components(edges: DataFrame, folder: str, *, a: str = "a", b: str
     work, before = stored(work)
     if before[0] <= task_edges:
         kind = work.schema["u"].dataType.simpleString()
-        return written(work.coalesce(1).mapInArrow(_union_find, f"node {kind}, component {kind}"), folder, "components")
+        return _counted(written(work.coalesce(1).mapInArrow(_union_find, f"node {kind}, component {kind}"), folder, "components"), before[0])
     for _ in range(max_rounds):
         if not before[0]:
             break
@@ -85,5 +87,12 @@ def connected_components(edges: DataFrame, folder: str, *, a: str = "a", b: str
         before = now
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
-    return work.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        work.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return _counted(work.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        work.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), before[0])
+
+
+def _counted(groups: DataFrame, edges: int) -> DataFrame:
+    """``groups`` with the most rows it can have, and the most memory, from the counted edges."""
+    groups.counted = 2 * edges
+    groups.measured = groups.counted * (ROW_BYTES + 16)
+    return groups

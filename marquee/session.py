@@ -5,73 +5,142 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Bytes up to which a side may be broadcast; beyond it the join shuffles.
+#: Bytes in memory up to which a side may be broadcast; beyond it the join shuffles.
 BROADCAST_LIMIT = 8 << 20
+#: Bytes that a row of a hashed relation takes beside its values.
+ROW_BYTES = 48
+#: Runs of a ledger's level that are merged into one of the next.
+FAN = 8
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder that all executors share, from ``spark.checkpoint.dir``.
+    """Fresh subfolder of the folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (unit tests on one machine) a local one is made and
-    set. A fresh subfolder is returned for each call; it is removed when the JVM ends.
+    Only on a local master, where that setting is absent (unit tests), a local folder is made and
+    set; on a cluster its absence is an error, as no machine-local folder would do. The subfolder
+    is removed when the JVM ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="marquee-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/marquee-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, target = _file_system(spark, path)
     fs.mkdirs(target)
     fs.deleteOnExit(target)
     return path
 
 
-def written(df: DataFrame, folder: str, name: str, *partition: str) -> DataFrame:
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def bytes_in_memory(df: DataFrame) -> Column:
+    """Aggregate: what the rows of ``df`` take as a hashed relation, from counted rows and measured texts."""
+    size = F.count(F.lit(1)) * (ROW_BYTES + 8 * len(df.columns))
+    for f in df.schema.fields:
+        if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            size = size + F.coalesce(F.sum(F.octet_length(F.col(f"`{f.name}`").cast("string"))), F.lit(0))
+    return size
+
+
+def written(df: DataFrame, folder: str, name: str, *partition: str, measured: bool = False) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back.
 
-    The table survives the loss of any executor, unlike cached or local-checkpoint blocks.
+    The table survives the loss of any executor, unlike cached or local-checkpoint blocks. With
+    ``measured`` its size in memory is taken while it is written, for :func:`small`.
     """
     path = f"{folder}/{name}-{uuid.uuid4().hex[:8]}"
-    writer = df.write.mode("errorifexists")
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), bytes_in_memory(df).alias("size")) if measured else df
+    writer = rows.write.mode("errorifexists")
     if partition:
         writer = writer.partitionBy(*partition)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    if measured:
+        table.measured = seen.get["size"] or 0
+        table.counted = seen.get["rows"] or 0
+    return table
 
 
-class Ledger:
-    """A table in the shared folder that batches are appended to."""
+def drop_written(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`written` once nothing reads it any more."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
 
-    def __init__(self, spark: SparkSession, folder: str, name: str, schema: str):
-        self.spark, self.path = spark, f"{folder}/{name}"
-        self.schema = spark.createDataFrame([], schema).schema
-        self.append(spark.createDataFrame([], schema))
 
-    def append(self, rows: DataFrame) -> None:
-        rows.select(*self.schema.names).write.mode("append").parquet(self.path)
+def small(df: DataFrame, of: DataFrame | None = None, *, size: int | None = None, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``df`` with a broadcast hint if it is proven to take at most ``limit`` bytes in memory, else with one against it.
 
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+    Proof is the measure of the written table that ``df`` is, or is a part ``of``, or a counted
+    ``size``. The optimizer's own estimates are the file's compressed bytes and prove nothing, so
+    a side without a proof is never broadcast.
+    """
+    if size is None:
+        size = getattr(df if of is None else of, "measured", None)
+    return F.broadcast(df) if size is not None and size <= limit else apart(df)
 
 
-def drop_written(spark: SparkSession, path: str) -> None:
-    """Delete a folder made by :func:`written` once nothing reads it any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` with a hint that its join shuffles both sides, whatever the optimizer guesses of its size."""
+    return df.hint("merge")
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; for a written table that is its file size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+class Ledger:
+    """A table in the shared folder that batches are appended to, kept as sorted runs.
+
+    ``kind`` parts it into folders, so a reader of one kind lists and reads no other. Rows of a run
+    are sorted by ``order``, so that a filter on its first column skips row groups. When ``FAN``
+    runs of a level have gathered they are merged into one of the next level: a row is rewritten a
+    number of times that grows with the logarithm of the number of batches, and a reader opens few files.
+    Runs found in the folder are taken up again, so a ledger outlives its session; a merge that was
+    cut short leaves rows twice, which its readers must bear.
+    """
 
+    def __init__(self, spark: SparkSession, folder: str, name: str, schema: str, order: tuple[str, ...]):
+        self.spark, self.path, self.order = spark, f"{folder}/{name}", order
+        self.schema = spark.createDataFrame([], f"{schema}, kind string").schema
+        self.levels: list[list[str]] = [[]]
+        fs, target = _file_system(spark, self.path)
+        for run in sorted(str(s.getPath().toString()) for s in fs.listStatus(target)) if fs.exists(target) else []:
+            level = int(run.rsplit("run=", 1)[1].split("-")[0])
+            if fs.exists(_file_system(spark, f"{run}/_SUCCESS")[1]):
+                self.levels += [[] for _ in range(level + 1 - len(self.levels))]
+                self.levels[level].append(run)
 
-def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """``df`` with a broadcast hint if its estimated size is proven under ``limit``."""
-    return F.broadcast(df) if size_in_bytes(df) <= limit else df
+    def append(self, rows: DataFrame) -> None:
+        """Write ``rows``, with the ledger's columns, as a run of the lowest level."""
+        self.levels[0].append(self._run(rows, 0))
+        for level, runs in enumerate(self.levels):
+            if len(runs) < FAN:
+                break
+            if level + 1 == len(self.levels):
+                self.levels.append([])
+            self.levels[level + 1].append(self._run(self._of(runs), level + 1))
+            self.levels[level] = []
+            for run in runs:
+                drop_written(self.spark, run)
+
+    def _run(self, rows: DataFrame, level: int) -> str:
+        path = f"{self.path}/run={level}-{uuid.uuid4().hex[:12]}"
+        spread = rows.select(*self.schema.names).repartition("kind", self.order[0]).sortWithinPartitions("kind", *self.order)
+        spread.write.partitionBy("kind").parquet(path)
+        return path
+
+    def _of(self, runs: list[str]) -> DataFrame:
+        if not runs:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*runs).select(*self.schema.names)
+
+    def read(self, kind: str) -> DataFrame:
+        return self._of([run for runs in self.levels for run in runs]).filter(F.col("kind") == kind).drop("kind")
