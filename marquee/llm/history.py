@@ -1,25 +1,27 @@
 """Duplicates of new batches against all accepted history, without reprocessing the history.
 
-State in the shared folder: blocking keys with the compared fields of every accepted row, native
-keys with their first row, and a representative mapping (union-find with compressed paths). A
-batch probes the blocking keys, candidate pairs are scored with learned weights, and only the
-clusters it touches are merged. A misspelt title is indexed and probed under its own spelling and
-under the commoner ones it may stand for.
+State in the shared folder is one ledger: blocking keys of the accepted tellings, their compared
+fields, native keys and hashes of whole tellings, each with its representative, and the mapping of
+representatives that were merged since (union-find with compressed paths). A batch probes the
+blocking keys of the spans of time it tells of, candidate pairs are scored with learned weights, and
+only the clusters it touches are merged. A misspelt title is indexed and probed under its own
+spelling and under the commoner ones it may stand for.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ..functions.text import strip
 from ..operators.components import connected_components
-from ..session import Ledger, small, work_dir, written
+from ..session import BROADCAST_LIMIT, ROW_BYTES, Ledger, apart, drop_written, small, work_dir, written
 from . import canon, names
 from .udfs import batch_udf
 
@@ -39,6 +41,8 @@ SLIP = 1.0
 #: Rows of a native key that one window takes when weights are learned.
 KEY_ROWS = 10_000
 _LETTERS = 6
+#: Day slots of one span, by which the ledger's blocking keys are sorted and read.
+SPAN_SLOTS = 32
 
 ROW = T.StructType([T.StructField("seq", T.LongType()), T.StructField("source", T.StringType()), T.StructField("native", T.StringType()), T.StructField("title", T.StringType()), T.StructField("edition", T.StringType()),
     *(T.StructField(f, T.StringType()) for f in FIELDS), T.StructField("d1", T.IntegerType()), T.StructField("d2", T.IntegerType()),
@@ -105,110 +109,185 @@ def learned_weights(rows: DataFrame) -> dict[str, dict[str, float]]:
 
 def with_likelier_titles(rows: DataFrame, folder: str) -> DataFrame:
     """``rows`` with ``likelier``: the commoner titles of the same source and edition within the title's allowed edits."""
-    told = written(names.likelier_texts(rows.select("source", "edition", "title"), "title", ["source", "edition"]), folder, "titles")
+    told = written(names.likelier_texts(rows.select("source", "edition", "title"), "title", ["source", "edition"]), folder, "titles", measured=True)
     return rows.join(small(told), ["source", "edition", "title"], "left")
 
 
 def _blocks(probe: bool) -> Column:
-    """Blocking keys with ``slip``: source, title or a likelier one (``slip`` 1), edition, a run's first or last days,
-    and place, organization or venue."""
-    none = F.array().cast("array<struct<block:bigint,slip:int>>")
+    """Blocking keys with ``span`` and ``slip``: source, title or a likelier one (``slip`` 1), edition, a run's first or
+    last days, and place, organization or venue."""
+    none = F.array().cast("array<struct<span:int,block:bigint,slip:int>>")
     titles = F.concat(F.array(F.struct(F.col("title").alias("t"), F.lit(0).alias("slip"))), F.transform(
         F.coalesce("likelier", F.array().cast("array<string>")), lambda t: F.struct(t.alias("t"), F.lit(1).alias("slip"))))
 
     def keys(mark: str, day: Column, by: Column) -> Column:
         slot = F.floor(day / (DAYS_APART + 1))
         slots = F.sequence(slot - 1, slot + 1) if probe else F.array(slot)
-        of = lambda t, s: F.struct(F.xxhash64(F.lit(mark), "source", t["t"], "edition", by, s).alias("block"), t["slip"].alias("slip"))
+        of = lambda t, s: F.struct(
+            F.floor(s / SPAN_SLOTS).cast("int").alias("span"), F.xxhash64(F.lit(mark), "source", t["t"], "edition", by, s).alias("block"), t["slip"].alias("slip"))
         return F.when(day.isNotNull() & by.isNotNull(), F.flatten(F.transform(titles, lambda t: F.transform(slots, lambda s: of(t, s))))).otherwise(none)
 
     by = {"p": F.col("place"), "o": F.left(F.col("org"), F.lit(_LETTERS)), "v": F.col("venue")}
     return F.array_distinct(F.concat(*(keys(m + k, F.col(d), c) for m, d in (("s", "d1"), ("e", "d2")) for k, c in by.items())))
 
 
-def _log_odds(weights: dict[str, dict[str, float]]) -> Column:
-    score = F.lit(math.log2(PRIOR / (1 - PRIOR)) + 8.0)  # 8 bits: one title, source and run among all rows of a block
-    score = score - SLIP * (F.col("a_slip") + F.col("b_slip"))
-    for f in FIELDS:
-        level = _level(F.col(f"a.{f}"), F.col(f"b.{f}"))
-        part = F.lit(0.0)
-        for lv, w in weights[f].items():
-            part = F.when(level == lv, F.lit(w)).otherwise(part)
-        score = score + part
-    return score
+def prepared(rows: DataFrame, *also: str) -> DataFrame:
+    """Rows as in ``ROW`` in the form that :meth:`HistoryIndex.accept` takes: ``seq``, hashes of the native key and of the
+    whole telling (null where there is none), the compared ``fields``, the blocking keys to index and those to probe;
+    and the columns ``also``."""
+    dated = F.col("d1").isNotNull() | F.col("d2").isNotNull()
+    native = F.when(F.col("native").isNotNull(), F.xxhash64(F.lit("native"), "source", "native"))
+    telling = F.when(dated & (F.col("org").isNotNull() | F.col("venue").isNotNull()), F.xxhash64(
+        "source", "title", "edition", *(F.coalesce(F.col(f), F.lit("\x00")) for f in FIELDS), F.coalesce("d1", F.lit(0)), F.coalesce("d2", F.lit(0))))
+    return rows.select("seq", native.alias("native"), telling.alias("telling"), F.struct(*FIELDS, "d1", "d2").alias("fields"), _blocks(False).alias("own"), _blocks(True).alias("probe"), *also)
+
+
+def _log_odds(weights: dict[str, dict[str, float]]) -> str:
+    """SQL of a pair's score; ``a`` and ``b`` are the two tellings' fields, ``slips`` how many titles were read otherwise."""
+    level = lambda f, w: (
+        f"CASE WHEN a.{f} IS NULL OR b.{f} IS NULL THEN {w['absent']!r}D WHEN a.{f} = b.{f} THEN {w['same']!r}D WHEN levenshtein(a.{f}, b.{f}, 2) >= 0 THEN {w['near']!r}D ELSE {w['differ']!r}D END")
+    start = math.log2(PRIOR / (1 - PRIOR)) + 8.0  # 8 bits: one title, source and run among all rows of a block
+    return " + ".join([f"{start!r}D - {SLIP!r}D * slips", *(level(f, weights[f]) for f in FIELDS)])
+
+
+#: One run at one venue: a first or last day agrees, neither contradicts, nor does the venue.
+_RUN_AGREES = f"""
+    (coalesce(abs(a.d1 - b.d1) <= {DAYS_APART}, false) OR coalesce(abs(a.d2 - b.d2) <= {DAYS_APART}, false))
+    AND NOT coalesce(abs(a.d1 - b.d1) > {DAYS_APART}, false) AND NOT coalesce(abs(a.d2 - b.d2) > {DAYS_APART}, false)
+    AND (a.venue IS NULL OR b.venue IS NULL OR a.venue = b.venue OR levenshtein(a.venue, b.venue, 2) >= 0)"""
+
+#: Rows of a batch with the representatives of their native key and telling, as accepted or told before in the batch.
+_KNOWN = """
+WITH keys AS (SELECT seq, explode(array_compact(array(native, telling))) AS k FROM {batch}),
+firsts AS (SELECT k, min(seq) AS first FROM keys GROUP BY k),
+hits AS (SELECT /*+ {few}(f) */ e.k, min(e.rep) AS older FROM {exact} e JOIN firsts f ON e.k = f.k GROUP BY e.k),
+known AS (SELECT /*+ {few}(h) */ f.k, f.first, h.older FROM firsts f LEFT JOIN hits h ON f.k = h.k)
+SELECT /*+ {few}(n, t) */ r.*, array_compact(array(coalesce(n.older, n.first), coalesce(t.older, t.first))) AS links,
+  n.k IS NOT NULL AND n.older IS NULL AND n.first = r.seq AS new_native, t.k IS NOT NULL AND t.older IS NULL AND t.first = r.seq AS fresh
+FROM {batch} r LEFT JOIN known n ON r.native = n.k LEFT JOIN known t ON r.telling = t.k"""
+
+#: Links of a batch's rows: by key or whole telling, and by the score of pairs met under a blocking key. Candidates are ids only, each pair once.
+_LINKS = """
+WITH fresh AS (SELECT seq, fields, own, probe FROM {told} WHERE fresh),
+entries AS (SELECT block AS k, slip, seq FROM (SELECT seq, inline(own) FROM fresh) UNION ALL SELECT k, slip, seq FROM {blocks} WHERE span IN ({spans})),
+probes AS (SELECT block AS k, slip, seq FROM (SELECT seq, inline(probe) FROM fresh)),
+met AS (SELECT /*+ {few_probes}(p) */ p.seq AS a_seq, e.seq AS b_seq, min(e.slip + p.slip) AS slips FROM entries e JOIN probes p ON e.k = p.k WHERE p.seq > e.seq GROUP BY p.seq, e.seq),
+theirs AS (SELECT seq, fields, seq AS rep FROM fresh UNION ALL SELECT seq, fields, rep FROM {rows}),
+pairs AS (SELECT /*+ {few_texts}(x), MERGE(y) */ a_seq, slips, x.fields AS a, y.fields AS b, y.rep FROM met JOIN fresh x ON a_seq = x.seq JOIN theirs y ON b_seq = y.seq)
+SELECT seq AS x, explode(links) AS y FROM {told} UNION ALL SELECT a_seq, rep FROM pairs WHERE {agrees} AND {score} >= {threshold}"""
+
+#: The same where representatives have been merged since: theirs now.
+_MOVED_LINKS = """
+SELECT /*+ {few_moved}(m) */ x, coalesce(m.now, y) AS y FROM {links} LEFT JOIN {moved} m ON y = m.old"""
+
+#: What the ledger takes up: a batch's rows under their representatives, and representatives merged into smaller ones.
+_ADDED = """
+SELECT kind, span, k, slip, seq, fields, rep FROM (SELECT seq, rep, inline(concat(
+    array(named_struct('kind', 'member', 'span', int(NULL), 'k', seq, 'slip', int(NULL), 'fields', {none})),
+    IF(new_native, array(named_struct('kind', 'exact', 'span', int(NULL), 'k', native, 'slip', int(NULL), 'fields', {none})), array()),
+    IF(fresh, concat(
+      array(named_struct('kind', 'exact', 'span', int(NULL), 'k', telling, 'slip', int(NULL), 'fields', {none}), named_struct('kind', 'row', 'span', int(NULL), 'k', seq, 'slip', int(NULL), 'fields', fields)),
+      transform(own, b -> named_struct('kind', 'block', 'span', b.span, 'k', b.block, 'slip', b.slip, 'fields', {none}))), array())))
+  FROM (SELECT /*+ {few_groups}(g) */ t.*, coalesce(g.component, t.seq) AS rep FROM {told} t LEFT JOIN {groups} g ON t.seq = g.node))
+UNION ALL SELECT 'moved', NULL, k, NULL, NULL, NULL, rep FROM {absorbed}"""
+
+_ABSORBED = """
+SELECT /*+ {few_rows}(t) */ node AS k, component AS rep FROM (SELECT * FROM {groups} WHERE node <> component) LEFT ANTI JOIN {told} t ON node = t.seq"""
+
+#: Paths are compressed: what was merged into an absorbed representative names its new one.
+_COMPRESSED = """
+SELECT k, rep FROM {absorbed} UNION ALL SELECT /*+ {few_groups}(a) */ m.old, a.rep FROM {moved} m JOIN {absorbed} a ON m.now = a.k"""
+
+
+@dataclass(frozen=True)
+class Extent:
+    """What a batch is counted to have: rows, probed blocking keys, bytes of compared texts, and the spans of its probes.
+
+    The spans are as many as the calendar has, not as the batch has rows.
+    """
+
+    rows: int
+    probes: int
+    texts: int
+    spans: tuple[int, ...]
+
+    @staticmethod
+    def columns() -> list[Column]:
+        texts = sum((F.coalesce(F.octet_length(f"fields.{f}"), F.lit(0)) for f in FIELDS), F.lit(0))
+        return [F.count(F.lit(1)).alias("rows"), F.sum(F.size("probe")).alias("probes"), F.sum(texts).alias("texts"), F.array_distinct(F.flatten(F.collect_set(F.array_distinct("probe.span")))).alias("spans")]
+
+    @classmethod
+    def of(cls, row: Row) -> Extent:
+        return cls(row["rows"], row["probes"] or 0, row["texts"] or 0, tuple(sorted(row["spans"])))
 
 
-def _run_agrees() -> Column:
-    """One run at one venue: a first or last day agrees, neither contradicts, nor does the venue."""
-    gap = lambda d: F.abs(F.col(f"a.{d}") - F.col(f"b.{d}"))
-    near, far = (lambda d: F.coalesce(gap(d) <= DAYS_APART, F.lit(False))), (lambda d: F.coalesce(gap(d) > DAYS_APART, F.lit(False)))
-    elsewhere = _level(F.col("a.venue"), F.col("b.venue")) == "differ"
-    return (near("d1") | near("d2")) & ~far("d1") & ~far("d2") & ~elsewhere
+def _filled(query: str, **texts: str) -> str:
+    for name, text in texts.items():
+        query = query.replace(f"{{{name}}}", text)
+    return query
 
 
 class HistoryIndex:
     """Accepted rows and their clusters; :meth:`accept` takes the next batch.
 
-    Tables in ``folder``, so a lost executor finds them there: ``blocks`` (blocking key, compared
-    fields and representative of each distinct telling), ``exact`` (a native key, or the hash of
-    all compared fields, with its representative), ``members`` (row and representative) and
-    ``forward`` (representatives that were merged into smaller ones, paths compressed).
+    The ledger in ``folder`` has five kinds of rows, each with its ``rep``: ``block`` (a blocking key
+    ``k`` in a ``span`` of time and the telling ``seq`` under it), ``row`` (the compared fields of a
+    telling), ``exact`` (hash of a native key or of a whole telling), ``member`` (an accepted row) and
+    ``moved`` (a representative that was merged into a smaller one). A batch reads the blocking keys
+    of its spans only, and fields only of the tellings it met; nothing is rewritten but by the
+    ledger's own merging of runs.
     A telling with the same fields as an accepted one is linked by its hash and neither probes
     nor is indexed, so copies cost one lookup each, also where they are a third of all rows.
     Rows without dates are linked by their native key only; a blank native key links nothing.
-    Batches may come in any size, empty ones too.
+    Batches may come in any size, empty ones too. A new index on the folder of an old one goes on with it.
     """
 
     def __init__(self, spark: SparkSession, folder: str, weights: dict[str, dict[str, float]]):
-        self.spark, self.folder, self.weights = spark, folder, weights
-        told = "struct<seq:bigint," + ",".join(f"{f}:string" for f in FIELDS) + ",d1:int,d2:int>"
-        self.blocks = Ledger(spark, folder, "blocks", f"block bigint, b_slip int, b {told}, rep bigint")
-        self.exact = Ledger(spark, folder, "exact", "k bigint, rep bigint")
-        self.members = Ledger(spark, folder, "members", "seq bigint, rep bigint")
-        self.forward = spark.createDataFrame([], "old bigint, now bigint")
-
-    def _current(self, links: DataFrame) -> DataFrame:
-        """Links whose target is replaced by the representative it was merged into since."""
-        return links.join(small(self.forward), links["y"] == F.col("old"), "left").select("x", F.coalesce("now", "y").alias("y"))
-
-    def accept(self, batch: DataFrame) -> None:
-        """Probe, score, link, merge and index the rows of ``batch`` (columns as in ``ROW``, distinct ``seq``)."""
-        dated = F.col("d1").isNotNull() | F.col("d2").isNotNull()
-        native = F.when(F.col("native").isNotNull(), F.xxhash64(F.lit("native"), "source", "native"))
-        telling = F.when(dated & (F.col("org").isNotNull() | F.col("venue").isNotNull()), F.xxhash64(
-            "source", "title", "edition", *(F.coalesce(F.col(f), F.lit("\x00")) for f in FIELDS), F.coalesce("d1", F.lit(0)), F.coalesce("d2", F.lit(0))))
-        batch = batch.withColumn("telling", telling)
-        keys = batch.select("seq", F.explode(F.array_compact(F.array(native, "telling"))).alias("k"))
-        firsts = keys.groupBy("k").agg(F.min("seq").alias("first"))
-        hits = self.exact.read().join(small(firsts.select("k")), "k").groupBy("k").agg(F.min("rep").alias("older"))
-        known = written(firsts.join(hits, "k", "left"), self.folder, "known")
-        exact = keys.join(small(known), "k").select(F.col("seq").alias("x"), F.coalesce("older", "first").alias("y"))
-        new = batch.join(small(known.filter(F.col("older").isNull()).select(F.col("k").alias("telling"), F.col("first").alias("seq"))), ["telling", "seq"])
-        fields = F.struct("seq", *FIELDS, "d1", "d2")
-        entries = new.select(F.explode(_blocks(False)).alias("k"), fields.alias("b"), F.col("seq").alias("rep")).select("k.block", F.col("k.slip").alias("b_slip"), "b", "rep")
-        probes = new.select(F.explode(_blocks(True)).alias("k"), fields.alias("a")).select("k.block", F.col("k.slip").alias("a_slip"), "a")
-        # a pair met in several blocks is one link: distinct after the score
-        near = self.blocks.read().unionByName(entries).join(small(probes), "block").filter(
-            (F.col("a.seq") > F.col("b.seq")) & _run_agrees()).filter(_log_odds(self.weights) >= THRESHOLD)
-        links = self._current(near.select(F.col("a.seq").alias("x"), F.col("rep").alias("y")).unionByName(exact))
+        self.spark, self.folder, self.weights, self.batches = spark, folder, weights, 0
+        fields = ",".join(f"{f}:string" for f in FIELDS)
+        self.ledger = Ledger(spark, folder, "history", f"span int, k bigint, slip int, seq bigint, fields struct<{fields},d1:int,d2:int>, rep bigint", ("span", "k"))
+        self.moved = self.ledger.read("moved").count()
+
+    def _latest(self) -> DataFrame:
+        """``old, now`` of merged representatives; a later merge only ever names a smaller one."""
+        return self.ledger.read("moved").groupBy(F.col("k").alias("old")).agg(F.min("rep").alias("now"))
+
+    def accept(self, batch: DataFrame, extent: Extent | None = None) -> None:
+        """Probe, score, link, merge and index the rows of ``batch`` (see :func:`prepared`; distinct ``seq``).
+
+        ``extent`` is counted where it is not given. The plans of two batches are the same up to the
+        sizes that decide on broadcasts, so that their compiled code is used again.
+        """
+        extent = extent or Extent.of(batch.agg(*Extent.columns()).first())
+        if not extent.rows:
+            return
+        self.batches += 1
+        folder = f"{self.folder}/batch-{self.batches}"
+        sql, moved = self.spark.sql, self._latest()
+        few = lambda rows, more=0: "BROADCAST" if rows * (ROW_BYTES + 24) + more <= BROADCAST_LIMIT else "MERGE"
+        told = written(sql(_filled(_KNOWN, few=few(2 * extent.rows)), batch=batch, exact=self.ledger.read("exact")), folder, "batch")
+        linking = _filled(_LINKS, spans=", ".join(map(str, extent.spans)) or "NULL", agrees=_RUN_AGREES, score=_log_odds(self.weights), threshold=str(THRESHOLD),
+            few_probes=few(extent.probes), few_texts=few(2 * extent.rows, extent.texts))
+        links = sql(linking, told=told, blocks=self.ledger.read("block"), rows=self.ledger.read("row"))
+        if self.moved:
+            links = sql(_filled(_MOVED_LINKS, few_moved=few(self.moved)), links=links, moved=moved)
         # only rows of the batch and representatives they touch take part
-        groups = connected_components(links, self.folder, a="x", b="y")
-        merged = groups.select(F.col("node").alias("old"), F.col("component").alias("now")).filter(F.col("old") != F.col("now"))
-        place = lambda df, c: df.join(small(merged), df[c] == F.col("old"), "left").withColumn("rep", F.coalesce("now", c)).drop("old", "now")
-        self.members.append(place(batch.select("seq"), "seq"))
-        self.blocks.append(place(entries.drop("rep").withColumn("own", F.col("b.seq")), "own"))
-        self.exact.append(place(known.filter(F.col("older").isNull()).select("k", "first"), "first"))
-        absorbed = merged.join(batch.select(F.col("seq").alias("old")), "old", "left_anti")
-        step = absorbed.select(F.col("old").alias("now"), F.col("now").alias("then"))
-        compressed = self.forward.join(step, "now", "left").select("old", F.coalesce("then", "now").alias("now"))
-        self.forward = written(compressed.unionByName(absorbed), self.folder, "forward")
-        # lets the cleaner drop the batch's broadcasts, shuffle files and generated classes
-        self.spark.sparkContext._jvm.System.gc()
+        groups = connected_components(links, folder, a="x", b="y")
+        few_groups = few(groups.counted)
+        absorbed = sql(_filled(_ABSORBED, few_rows=few(extent.rows)), groups=groups, told=told)
+        if self.moved:
+            absorbed = sql(_filled(_COMPRESSED, few_groups=few_groups), absorbed=absorbed, moved=moved)
+        fields = told.schema["fields"].dataType.simpleString()
+        seen = Observation()
+        added = sql(_filled(_ADDED, none=f"cast(NULL AS {fields})", few_groups=few_groups), told=told, groups=groups, absorbed=absorbed)
+        self.ledger.append(added.observe(seen, F.count_if(F.col("kind") == "moved").alias("moved")))
+        self.moved += seen.get["moved"] or 0
+        drop_written(self.spark, folder)
 
     def duplicates(self) -> DataFrame:
         """``seq_a, seq_b``: each row that tells a known production, with its first row."""
-        rows = self.members.read()
-        now = rows.join(small(self.forward), rows["rep"] == F.col("old"), "left")
+        rows = self.ledger.read("member").select("seq", "rep").distinct()
+        now = rows.join(small(self._latest(), size=self.moved * (ROW_BYTES + 16)), rows["rep"] == F.col("old"), "left")
         return now.select(F.coalesce("now", "rep").alias("seq_a"), F.col("seq").alias("seq_b")).filter(F.col("seq_a") != F.col("seq_b"))
 
 
@@ -216,8 +295,8 @@ def linked_batches(rows: DataFrame, *, batch_day: str = "loaded_at") -> DataFram
     """``seq_a, seq_b`` after accepting ``rows`` day by day, in the order of ``batch_day``.
 
     The weights are learned on the first batch; which titles are likelier is counted over all rows,
-    once per distinct title. A repeated ``seq`` counts once. A null day goes with the first batch. The list of
-    days, not of rows, is read by the driver.
+    once per distinct title. A repeated ``seq`` counts once. A null day goes with the first batch. The
+    driver reads the days with their numbers of rows and spans, not rows.
     """
     spark = rows.sparkSession
     folder = work_dir(spark)
@@ -227,9 +306,11 @@ def linked_batches(rows: DataFrame, *, batch_day: str = "loaded_at") -> DataFram
         return spark.createDataFrame([], "seq_a long, seq_b long")
     once = rows.dropDuplicates(["seq"]).withColumn("_day", F.coalesce(day, F.lit(lowest)))
     told = written(compared(once, "_day").withColumnRenamed("_day", "day"), folder, "compared")
-    staged = written(with_likelier_titles(told, folder).repartition("day", F.pmod("seq", F.lit(4))), folder, "staged", "day")
-    days = sorted(r[0] for r in staged.select("day").distinct().collect())
-    index = HistoryIndex(spark, folder, learned_weights(staged.filter(F.col("day") == F.lit(days[0]))))
+    ready = with_likelier_titles(told, folder)
+    weights = learned_weights(told.filter(F.col("day") == F.lit(lowest)))
+    staged = written(prepared(ready, "day").repartition("day", F.pmod("seq", F.lit(4))), folder, "staged", "day")
+    days = staged.groupBy("day").agg(*Extent.columns()).orderBy("day").collect()
+    index = HistoryIndex(spark, folder, weights)
     for d in days:
-        index.accept(staged.filter(F.col("day") == F.lit(d)).drop("day"))
+        index.accept(staged.filter(F.col("day") == F.lit(d["day"])).drop("day"), Extent.of(d))
     return index.duplicates()
