@@ -1,5 +1,9 @@
 import random
+from functools import reduce
 
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marquee.llm import quality
@@ -25,10 +29,40 @@ def test_chunks_agree_with_whole_texts(spark):
     for size in (5, 37):
         cut = figures(spark, rows, chunk_chars=size, max_chars=1 << 12)
         for i, text in rows:
-            same = {k for k in whole[i] if whole[i][k] == cut[i][k]}
-            # line ends of two characters may be cut apart: only the count of blank lines sees it
-            loose = {"blanks", "list_share", "table_share", "line_variety", "seen"} if text and "\r\n" in text else set()
-            assert set(whole[i]) - same <= loose, (i, text, size, {k: (whole[i][k], cut[i][k]) for k in set(whole[i]) - same})
+            assert whole[i] == cut[i], (i, text, size, {k: (whole[i][k], cut[i][k]) for k in whole[i] if whole[i][k] != cut[i][k]})
+
+
+PIECES = st.sampled_from(["the ", "of", "curtain", "é", "Σ", "-", "*", "1. ", "a) ", ": ", ":", ";", ",", " ", "  ", "/", " / ", "\n", "\r\n", "\r", "\u2028", "\u0085", "\t", "|", ".", "!", "…", "Ã", "Â", "â€", "#", "^", "1", "(", ")", "&", "{", "}", "😀", "x" * 45])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(PIECES, min_size=1, max_size=40), st.lists(st.integers(0, 1 << 30), min_size=1, max_size=6))
+def test_merge_is_exact_and_associative(parts, cuts):
+    rules = quality.QualityRules()
+    text = "".join(parts)
+    at = sorted({c % (len(text) + 1) for c in cuts} | {0, len(text)})
+    at = [c + (text[c - 1 : c + 1] == "\r\n" if 0 < c < len(text) else 0) for c in at]
+    pieces = [text[a:b] for a, b in zip(at, at[1:]) if a < b]
+    sums, _ = quality.measured(pa.array([text]), rules, whole=True)
+    want = {k: int(v[0]) for k, v in sums.items()}
+    state = lambda: quality.measured(pa.array(pieces), rules, whole=False)[1]
+    left = reduce(lambda a, b: quality.merged(a, b, rules), state())
+    right = reduce(lambda b, a: quality.merged(a, b, rules), reversed(state()))
+    assert quality.closed(left, rules) == want and quality.closed(right, rules) == want
+
+
+def test_variety_reads_whole_lines_and_words():
+    rules = quality.QualityRules()
+    long = [f"{'same beginning of a line ' * 3}{i}" for i in range(40)]
+    words = [f"{'w' * 40}{chr(97 + i)}" for i in range(20)]
+    sums, _ = quality.measured(pa.array(["\n".join(long), " ".join(words), "\n".join(f"line {i % 500}" for i in range(3000))]), rules, whole=True)
+    assert list(sums["line_variety"][:2]) == [40, 1] and sums["word_variety"][1] == 20
+    assert 350 < sums["line_variety"][2] < 700
+
+
+def test_line_ends_of_two_letters(spark):
+    whole, cut = (figures(spark, [(1, "Name: A\r\n" * 16)], **o)[1] for o in ({}, {"chunk_chars": 8, "max_chars": 1 << 12}))
+    assert whole == cut and whole["blanks"] == 1
 
 
 def test_edges_and_classes(spark):
