@@ -88,7 +88,7 @@ def address_records(rows: DataFrame, folder: str, *, id: str, address: str, city
 
 def _with_likelier_places(left: DataFrame, right: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     """Both tables with ``likelier``: the commoner place names of either table that ``place`` may be a slip of."""
-    told = written(names.likelier_texts(left.select("place").unionByName(right.select("place")), "place", []), folder, "localities")
+    told = written(names.likelier_texts(left.select("place").unionByName(right.select("place")), "place", [], folder), folder, "localities", measured=True)
     return left.join(small(told), "place", "left"), right.join(small(told), "place", "left")
 
 

@@ -109,7 +109,7 @@ def learned_weights(rows: DataFrame) -> dict[str, dict[str, float]]:
 
 def with_likelier_titles(rows: DataFrame, folder: str) -> DataFrame:
     """``rows`` with ``likelier``: the commoner titles of the same source and edition within the title's allowed edits."""
-    told = written(names.likelier_texts(rows.select("source", "edition", "title"), "title", ["source", "edition"]), folder, "titles", measured=True)
+    told = written(names.likelier_texts(rows.select("source", "edition", "title"), "title", ["source", "edition"], folder), folder, "titles", measured=True)
     return rows.join(small(told), ["source", "edition", "title"], "left")
 
 

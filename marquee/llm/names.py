@@ -2,8 +2,8 @@
 
 Two strings within ``k`` edits, cut one of them into ``k + 1`` segments: at least one segment
 appears in the other unchanged, shifted by at most ``k``. The index holds the segments of every
-name; each name looks up its substrings at the shifted positions; a banded edit distance then
-verifies the candidates.
+name; each name looks up its substrings at the positions that can matter; a banded edit distance
+then verifies the candidates.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import work_dir, written
+from ..session import apart, small, work_dir, written
 from . import canon
 from .udfs import batch_udf
 
@@ -32,75 +32,103 @@ def locality(cities: pd.Series) -> pd.Series:
 
 @batch_udf("boolean")
 def within_edits(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
-    return pd.Series([canon.edits(x, y, k) <= k for x, y, k in zip(a, b, most)], dtype=bool)
+    """Edit distance check; true where a text is null."""
+    return pd.Series([x is None or canon.edits(x, y, k) <= k for x, y, k in zip(a, b, most)], dtype=bool)
 
 
-def allowed_edits(text: Column) -> Column:
-    """Edits that two spellings may differ by: none under 4 letters, 1 under 12, else 2."""
-    return F.when(F.length(text) < 4, 0).when(F.length(text) < 12, 1).otherwise(2)
+#: Letters from which on a text may differ by so many edits: none below the first.
+EDIT_LENGTHS = (4, 12)
 
 
-def segment_join(rows: DataFrame, id: str, text: str, block: list[str], *, most: int = 2) -> DataFrame:
+def allowed_edits(n: Column, most: int = len(EDIT_LENGTHS)) -> Column:
+    """Edits that two spellings, the shorter of ``n`` letters, may differ by: none under 4 letters, 1 under 12, else 2."""
+    return F.least(F.lit(most), sum(((n >= length).cast("int") for length in EDIT_LENGTHS), F.lit(0)))
+
+
+def _cut(i: int, n: Column, parts: int) -> Column:
+    """Letters before the ``i``-th of ``parts`` segments of a text of ``n`` letters."""
+    return F.floor(n * i / parts).cast("int")
+
+
+def _indexed(t: Column, n: Column, k: int) -> list[tuple[int, Column]]:
+    """Segment number and letters of what stands for a text in the index: its ``k + 1`` segments and, for each cut between
+    two, both as they are when the letters on either side of the cut are swapped."""
+    begin = [_cut(i, n, k + 1) for i in range(k + 2)]
+    whole = [(i, F.substring(t, begin[i] + 1, begin[i + 1] - begin[i])) for i in range(k + 1)]
+    swapped = []
+    for i in range(k):
+        at = begin[i + 1]  # the letters at and at + 1 change places
+        swapped.append((i, F.concat(F.substring(t, begin[i] + 1, at - begin[i] - 1), F.substring(t, at + 1, F.lit(1)))))
+        swapped.append((i + 1, F.concat(F.substring(t, at, F.lit(1)), F.substring(t, at + 2, begin[i + 2] - at - 1))))
+    return whole + swapped
+
+
+def _probed(t: Column, m: Column, most: int) -> list[tuple[Column, Column, int, Column]]:
+    """When, indexed length, segment number and letters of each lookup of a text of ``m`` letters.
+
+    Of ``k`` edits there is a segment that has none, with as many edits before it as segments, or
+    fewer after it than segments; that bounds how far it can be shifted from either end.
+    """
+    found = []
+    for k in range(1, most + 1):
+        for more in range(k + 1):
+            n = m - more
+            for i in range(k + 1):
+                for shift in range(max(-i, more - (k - i)), min(i, more + k - i) + 1):
+                    found.append((allowed_edits(n, most) == k, n, i, F.substring(t, _cut(i, n, k + 1) + shift + 1, _cut(i + 1, n, k + 1) - _cut(i, n, k + 1))))
+    return found
+
+
+def segment_join(rows: DataFrame, id: str, text: str, block: list[str], folder: str | None = None, *, most: int = 2) -> DataFrame:
     """``a, b`` with ``a < b``: ids of rows of one block whose texts are within their allowed edits.
 
-    Swapped neighbours count as one edit; as a swap may straddle a cut and spoil two segments, a
-    text is cut into ``2k + 1`` of them. Index and probe entries carry the block, the length of
-    the indexed text, the segment number and its letters; equal texts share one entry, so a
-    block full of copies does not meet itself. Candidates are distinct before they are verified.
+    A text is cut into ``k + 1`` segments, so that ``k`` edits leave one of them whole; swapped
+    neighbours count as one edit, and for a swap across a cut the index also holds the segments as
+    the swap makes them. Entries are hashes of block, length of the indexed text, segment number and
+    letters; only they and the ids of texts are joined, and the texts are fetched for distinct
+    candidates, where the banded edit distance decides. Equal texts share one entry, so a block full
+    of copies does not meet itself.
     Null or blank texts match nothing; null block columns match nothing.
     """
+    folder = folder or work_dir(rows.sparkSession)
     base = rows.filter(F.coalesce(F.length(text), F.lit(0)) > 0)
-    texts = base.groupBy(*block, F.col(text).alias("t")).agg(F.min(id).alias("rep"))
-    texts = texts.withColumn("n", F.length("t")).withColumn("k", F.least(F.lit(most), allowed_edits(F.col("t"))))
-    texts = texts.filter(F.col("k") > 0)
-    cut = lambda i, n, parts: F.floor(n * i / parts).cast("int")
-
-    def segments(t: Column, n: Column, parts: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.struct(
-            i.alias("i"), F.substring(t, cut(i, n, parts) + 1, cut(i + 1, n, parts) - cut(i, n, parts)).alias("s")))
-
-    index = texts.select(*block, "t", "rep", "n", "k", F.inline(segments(F.col("t"), F.col("n"), 2 * F.col("k") + 1))).select(
-        *block, "i", "s", F.col("n").alias("ln"), F.col("t").alias("lt"), F.col("rep").alias("lrep"), F.col("k").alias("lk"))
-
-    def lookups(t: Column, m: Column) -> Column:
-        """Substrings of ``t`` where a segment of a text of a near length could stand."""
-        lengths = F.filter(F.sequence(m - most, m), lambda n: n > 3)
-        at = lambda n, i, parts, d: F.struct(
-            i.alias("i"), n.alias("ln"),
-            F.when(cut(i, n, parts) + d >= 0, F.substring(t, cut(i, n, parts) + d + 1, cut(i + 1, n, parts) - cut(i, n, parts))).alias("s"))
-        per = lambda n: F.flatten(F.transform(F.sequence(F.lit(0), _parts(n, most) - 1), lambda i: F.transform(
-            F.sequence(-_edits(n, most), _edits(n, most)), lambda d: at(n, i, _parts(n, most), d))))
-        return F.array_distinct(F.flatten(F.transform(lengths, per)))
-
-    probe = texts.select(*block, F.col("t").alias("rt"), F.col("rep").alias("rrep"), F.inline(lookups(F.col("t"), F.col("n"))))
-    candidates = (
-        index.join(probe, [*block, "i", "ln", "s"])
-        .filter((F.col("lt") != F.col("rt")) & ((F.length("rt") > F.col("ln")) | (F.col("lt") < F.col("rt"))))
-        .select("lt", "rt", "lrep", "rrep", "lk").distinct()
-    )
-    near = candidates.filter(F.levenshtein("lt", "rt") <= 2 * F.col("lk")).filter(within_edits("lt", "rt", "lk"))
+    for c in block:
+        base = base.filter(F.col(c).isNotNull())
+    texts = base.groupBy(F.xxhash64(*block).alias("block"), F.col(text).alias("t")).agg(F.min(id).alias("rep"))
+    texts = texts.withColumn("n", F.length("t")).filter(allowed_edits(F.col("n"), most) > 0).withColumn("tid", F.xxhash64("block", "t"))
+    texts = written(texts, folder, "texts")
+    t, n = F.col("t"), F.col("n")
+    k = allowed_edits(n, most)
+    entry = lambda length, i, letters: F.xxhash64("block", length, F.lit(i), letters)
+    choice = F
+    for size in range(1, most + 1):
+        choice = choice.when(k == size, F.array(*(entry(n, i, s) for i, s in _indexed(t, n, size))))
+    index = texts.select(F.col("tid").alias("l"), F.explode(F.array_distinct(choice)).alias("entry"))
+    lookups = F.array_compact(F.array(*(F.when(when, entry(length, i, s)) for when, length, i, s in _probed(t, n, most))))
+    probe = texts.select(F.col("tid").alias("r"), F.explode(F.array_distinct(lookups)).alias("entry"))
+    met = index.join(apart(probe), "entry").filter(F.col("l") != F.col("r")).select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r")).distinct()
+    side = lambda c: apart(texts.select(F.col("tid").alias(c), F.struct("block", "t", "n", "rep").alias(f"{c}x")))
+    pairs = met.join(side("l"), "l").join(side("r"), "r").select(
+        F.col("lx.t").alias("lt"), F.col("rx.t").alias("rt"), F.col("lx.rep").alias("lrep"), F.col("rx.rep").alias("rrep"),
+        allowed_edits(F.least("lx.n", "rx.n"), most).alias("k"), (F.col("lx.block") == F.col("rx.block")).alias("together"))
+    pairs = pairs.filter(F.col("together")).withColumn("far", F.levenshtein("lt", "rt", 2 * most)).filter(F.col("far").between(0, 2 * F.col("k")))
+    # a swap is two edits of the plain distance: only where that is too far is the other one asked
+    doubt = F.col("far") > F.col("k")
+    near = pairs.filter(within_edits(F.when(doubt, F.col("lt")), F.when(doubt, F.col("rt")), "k"))
     return near.select(F.least("lrep", "rrep").alias("a"), F.greatest("lrep", "rrep").alias("b")).distinct()
 
 
-def likelier_texts(rows: DataFrame, text: str, block: list[str]) -> DataFrame:
+def likelier_texts(rows: DataFrame, text: str, block: list[str], folder: str | None = None) -> DataFrame:
     """``*block, text, likelier``: each distinct text that has commoner ones within its allowed edits, and these.
 
     Of two near texts only the rarer one names the other (equal counts: the greater string), so a
     common text lists nothing, however many slips of it there are, and any near pair shares a text.
     """
-    counted = rows.filter(F.coalesce(F.length(text), F.lit(0)) > 0).groupBy(*block, text).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = segment_join(counted.withColumn("_id", F.struct((-F.col("_n")).alias("n"), text, *block)), "_id", text, block)
+    counted = rows.filter(F.coalesce(F.length(text), F.lit(0)) > 0).groupBy(*block, text).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(0))
+    pairs = segment_join(counted.withColumn("_id", F.struct((-F.col("_n")).alias("n"), text, *block)), "_id", text, block or ["_all"], folder)
     return pairs.select(*(F.col("b")[c].alias(c) for c in (*block, text)), F.col("a")[text].alias("_a")).groupBy(*block, text).agg(F.sort_array(F.collect_set("_a")).alias("likelier"))
 
 
-def _edits(n: Column, most: int) -> Column:
-    return F.least(F.lit(most), F.when(n < 4, 0).when(n < 12, 1).otherwise(2))
-
-
-def _parts(n: Column, most: int) -> Column:
-    return 2 * _edits(n, most) + 1
-
-
 @batch_udf("string")
 def building(streets: pd.Series) -> pd.Series:
     """House number and street, or crossing, of an address; null where it names neither."""
@@ -139,52 +167,47 @@ def linked_organizations(
     folder = work_dir(orgs.sparkSession)
     parts = written(organization_spellings(orgs, key=key, name=name, city=city, state=state, street=street), folder, "spellings")
     spellings = parts.drop("key", "initials", "site").dropDuplicates(["spelling"])
-    spellings = spellings.withColumn("subject", F.when(F.col("core") == "", F.col("given")).otherwise(F.col("core")))
-    named = spellings.filter(F.col("acronym") == "")
-    person = lambda l, r: (F.col(l) == F.col(r)) | (F.col(l) == "") | (F.col(r) == "") | (
+    subject = F.when(F.col("core") == "", F.col("given")).otherwise(F.col("core"))
+    slim = spellings.filter(F.col("acronym") == "").withColumn("subject", subject).select(
+        "spelling", "given", "state", "place", "kind", "subject", F.xxhash64("state", "place", "kind", "subject").alias("group"))
+    slim = written(slim, folder, "named")
+    agree = lambda l, r: (F.col(l) == F.col(r)) | (F.col(l) == "") | (F.col(r) == "") | (
         ((F.length(l) == 1) | (F.length(r) == 1)) & (F.left(F.col(l), F.lit(1)) == F.left(F.col(r), F.lit(1))))
 
-    # one text per (block, subject): groups of equal subjects whose other parts still must agree
-    slim = named.select("spelling", "state", "place", "kind", "subject", "given")
-    typos = segment_join(slim, "spelling", "subject", ["state", "place", "kind"])
-    places = segment_join(slim.filter(F.col("subject") != ""), "spelling", "place", ["state", "kind", "subject"])
-    bare = segment_join(slim.filter(F.col("subject") == ""), "spelling", "place", ["state", "kind"])
-    same = slim.groupBy("state", "place", "kind", "subject").agg(F.min("spelling").alias("a"))
-    # equal subjects: link each spelling to the group's first unless their given names contradict
-    first = slim.join(same, ["state", "place", "kind", "subject"])
-    anchor = first.filter(F.col("spelling") == F.col("a")).select("state", "place", "kind", "subject", F.col("given").alias("ag"))
-    equal = first.join(anchor, ["state", "place", "kind", "subject"]).filter(
-        (F.col("spelling") != F.col("a")) & person("given", "ag")).select("a", F.col("spelling").alias("b"))
-    by_given = slim.groupBy("state", "place", "kind", "subject", "given").agg(F.min("spelling").alias("a"))
-    equal = equal.unionByName(slim.join(by_given, ["state", "place", "kind", "subject", "given"]).filter(F.col("spelling") != F.col("a")).select("a", F.col("spelling").alias("b")))
-    givens = slim.select(F.col("spelling"), "given")
-    checked = typos.unionByName(places).unionByName(bare).join(
-        givens.select(F.col("spelling").alias("a"), F.col("given").alias("ga")), "a").join(
-        givens.select(F.col("spelling").alias("b"), F.col("given").alias("gb")), "b").filter(person("ga", "gb")).select("a", "b")
-    links = written(checked.unionByName(equal).distinct(), folder, "links")
-    groups = connected_components(links, folder)
-    known = written(spellings.select("spelling").join(groups, spellings["spelling"] == groups["node"], "left").select(
-        "spelling", F.coalesce("component", "spelling").alias("organization")), folder, "groups")
-
-    letters = parts.filter(F.col("acronym") == "").join(known, "spelling").select(
+    # both segment joins are one: names in blocks of place and kind, places in blocks of name and kind
+    entry = lambda mark, text, *by: F.struct(F.xxhash64(F.lit(mark), "state", "kind", *by).alias("block"), F.col(text).alias("text"))
+    near = segment_join(slim.select("spelling", F.inline(F.array(entry("name", "subject", "place"), entry("place", "place", "subject")))), "spelling", "text", ["block"], folder)
+    givens = slim.select("spelling", "given")
+    checked = near.join(apart(givens.select(F.col("spelling").alias("a"), F.col("given").alias("ga"))), "a").join(
+        apart(givens.select(F.col("spelling").alias("b"), F.col("given").alias("gb"))), "b").filter(agree("ga", "gb")).select("a", "b")
+    # equal names: each spelling is linked to the group's first unless their given names contradict, and to the first of its given name
+    first = slim.groupBy("group").agg(F.min("spelling").alias("a"), F.min_by("given", "spelling").alias("ga"))
+    equal = slim.join(apart(first), "group").filter((F.col("spelling") != F.col("a")) & agree("given", "ga")).select("a", F.col("spelling").alias("b"))
+    named = slim.groupBy("group", "given").agg(F.min("spelling").alias("a"))
+    alike = slim.join(apart(named), ["group", "given"]).filter(F.col("spelling") != F.col("a")).select("a", F.col("spelling").alias("b"))
+    groups = connected_components(checked.unionByName(equal).unionByName(alike), folder)
+    known = written(spellings.select("spelling").join(small(groups), F.col("spelling") == groups["node"], "left").select(
+        "spelling", F.coalesce("component", "spelling").alias("organization")), folder, "groups", measured=True)
+
+    letters = parts.filter(F.col("acronym") == "").join(small(known), "spelling").select(
         "state", "place", "site", F.col("initials").alias("acronym"), "organization").distinct()
     only = lambda *keys: letters.groupBy(*keys).agg(F.min("organization").alias("low"), F.max("organization").alias("high")).filter(F.col("low") == F.col("high"))
     short = parts.filter(F.col("acronym") != "").select("state", "place", "site", "acronym", "spelling").distinct()
-    on_site = short.join(only("state", "place", "acronym", "site"), ["state", "place", "acronym", "site"])
-    in_place = short.join(only("state", "place", "acronym"), ["state", "place", "acronym"])
+    on_site = short.join(apart(only("state", "place", "acronym", "site")), ["state", "place", "acronym", "site"])
+    in_place = short.join(apart(only("state", "place", "acronym")), ["state", "place", "acronym"])
     adopted = on_site.select("spelling", F.lit(0).alias("order"), "low").unionByName(in_place.select("spelling", F.lit(1).alias("order"), "low")).groupBy(
         "spelling").agg(F.min(F.struct("order", "low"))["low"].alias("adopted"))
-    final = known.join(adopted, "spelling", "left").select("spelling", F.coalesce("adopted", "organization").alias("organization"))
-    by_key = parts.select("key", "spelling").distinct().join(final, "spelling").select("key", "organization").distinct()
+    final = known.join(apart(adopted), "spelling", "left").select("spelling", F.coalesce("adopted", "organization").alias("organization"))
     # spellings under one key mean one organization
+    by_key = written(parts.select("key", "spelling").distinct().join(apart(final), "spelling").select("key", "organization").distinct(), folder, "keys")
     firsts = by_key.groupBy("key").agg(F.min("organization").alias("m"), F.max("organization").alias("x"))
-    bridges = written(by_key.join(firsts.filter(F.col("m") != F.col("x")), "key").select(F.col("m").alias("a"), F.col("organization").alias("b")), folder, "bridges")
+    bridges = by_key.join(apart(firsts.filter(F.col("m") != F.col("x"))), "key").select(F.col("m").alias("a"), F.col("organization").alias("b"))
     merged = connected_components(bridges, folder)
-    return firsts.join(merged, firsts["m"] == merged["node"], "left").select("key", F.coalesce("component", "m").alias("organization"))
+    return firsts.join(small(merged), F.col("m") == F.col("node"), "left").select("key", F.coalesce("component", "m").alias("organization"))
 
 
 def same_organization_pairs(members: DataFrame) -> DataFrame:
     """``key_a, key_b``: the distinct keys of one organization, in pairs, smaller first."""
     a = members.select(F.col("key").alias("key_a"), "organization")
     b = members.select(F.col("key").alias("key_b"), "organization")
-    return a.join(b, "organization").filter(F.col("key_a") < F.col("key_b")).select("key_a", "key_b").distinct()
+    return a.join(apart(b), "organization").filter(F.col("key_a") < F.col("key_b")).select("key_a", "key_b").distinct()

@@ -23,10 +23,14 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(table(spark, sf_dir, "documents").select("doc_id", "text")).filter(F.col("text_class") != "prose")
 
 
+def p5_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each registry key with the id of the organization it means."""
+    return names.linked_organizations(table(spark, sf_dir, "organizations").select("key", "name", "city", "state", "street"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of registry keys that mean the same organization."""
-    orgs = table(spark, sf_dir, "organizations").select("key", "name", "city", "state", "street")
-    return names.same_organization_pairs(names.linked_organizations(orgs))
+    return names.same_organization_pairs(p5_links(spark, sf_dir))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +101,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_links": p3_links,
     "p5_found": p5_found,
+    "p5_links": p5_links,
     "p6_found": p6_found,
     "p8_packs": p8_packs,
     "p9_mix": p9_mix,
