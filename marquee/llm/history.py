@@ -21,7 +21,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions.text import strip
 from ..operators.components import connected_components
-from ..session import BROADCAST_LIMIT, ROW_BYTES, Ledger, apart, drop_written, small, work_dir, written
+from ..session import BROADCAST_LIMIT, FAN, ROW_BYTES, Ledger, apart, drop_written, small, work_dir, written
 from . import canon, names
 from .udfs import batch_udf
 
@@ -131,15 +131,20 @@ def _blocks(probe: bool) -> Column:
     return F.array_distinct(F.concat(*(keys(m + k, F.col(d), c) for m, d in (("s", "d1"), ("e", "d2")) for k, c in by.items())))
 
 
-def prepared(rows: DataFrame, *also: str) -> DataFrame:
+def prepared(rows: DataFrame, *by: str) -> DataFrame:
     """Rows as in ``ROW`` in the form that :meth:`HistoryIndex.accept` takes: ``seq``, hashes of the native key and of the
-    whole telling (null where there is none), the compared ``fields``, the blocking keys to index and those to probe;
-    and the columns ``also``."""
+    whole telling (null where there is none) with the first row of the batch that has them, the compared ``fields``, the
+    blocking keys to index and those to probe. Columns ``by`` part the rows into batches and are kept."""
     dated = F.col("d1").isNotNull() | F.col("d2").isNotNull()
     native = F.when(F.col("native").isNotNull(), F.xxhash64(F.lit("native"), "source", "native"))
     telling = F.when(dated & (F.col("org").isNotNull() | F.col("venue").isNotNull()), F.xxhash64(
         "source", "title", "edition", *(F.coalesce(F.col(f), F.lit("\x00")) for f in FIELDS), F.coalesce("d1", F.lit(0)), F.coalesce("d2", F.lit(0))))
-    return rows.select("seq", native.alias("native"), telling.alias("telling"), F.struct(*FIELDS, "d1", "d2").alias("fields"), _blocks(False).alias("own"), _blocks(True).alias("probe"), *also)
+    out = rows.select("seq", native.alias("native"), telling.alias("telling"), F.struct(*FIELDS, "d1", "d2").alias("fields"), _blocks(False).alias("own"), _blocks(True).alias("probe"), *by)
+    for k in ("native", "telling"):
+        # an aggregate and a join, not a window: a hot key combines before its shuffle and its join is split
+        first = out.filter(F.col(k).isNotNull()).groupBy(*by, k).agg(F.min("seq").alias(f"{k}_first"))
+        out = out.join(apart(first), [*by, k], "left")
+    return out
 
 
 def _log_odds(weights: dict[str, dict[str, float]]) -> str:
@@ -156,15 +161,12 @@ _RUN_AGREES = f"""
     AND NOT coalesce(abs(a.d1 - b.d1) > {DAYS_APART}, false) AND NOT coalesce(abs(a.d2 - b.d2) > {DAYS_APART}, false)
     AND (a.venue IS NULL OR b.venue IS NULL OR a.venue = b.venue OR levenshtein(a.venue, b.venue, 2) >= 0)"""
 
-#: Rows of a batch with the representatives of their native key and telling, as accepted or told before in the batch.
+#: Rows of a batch with the representatives of their native key and telling: as accepted, else the first of the batch.
 _KNOWN = """
-WITH keys AS (SELECT seq, explode(array_compact(array(native, telling))) AS k FROM {batch}),
-firsts AS (SELECT k, min(seq) AS first FROM keys GROUP BY k),
-hits AS (SELECT /*+ {few}(f) */ e.k, min(e.rep) AS older FROM {exact} e JOIN firsts f ON e.k = f.k GROUP BY e.k),
-known AS (SELECT /*+ {few}(h) */ f.k, f.first, h.older FROM firsts f LEFT JOIN hits h ON f.k = h.k)
-SELECT /*+ {few}(n, t) */ r.*, array_compact(array(coalesce(n.older, n.first), coalesce(t.older, t.first))) AS links,
-  n.k IS NOT NULL AND n.older IS NULL AND n.first = r.seq AS new_native, t.k IS NOT NULL AND t.older IS NULL AND t.first = r.seq AS fresh
-FROM {batch} r LEFT JOIN known n ON r.native = n.k LEFT JOIN known t ON r.telling = t.k"""
+WITH hits AS (SELECT /*+ {few}(b) */ e.k, min(e.rep) AS rep FROM {exact} e LEFT SEMI JOIN (SELECT explode(array_compact(array(native, telling))) AS k FROM {batch}) b ON e.k = b.k GROUP BY e.k)
+SELECT /*+ {few}(n, t) */ r.*, array_compact(array(coalesce(n.rep, native_first), coalesce(t.rep, telling_first))) AS links,
+  n.k IS NULL AND coalesce(native_first = seq, false) AS new_native, t.k IS NULL AND coalesce(telling_first = seq, false) AS fresh
+FROM {batch} r LEFT JOIN hits n ON r.native = n.k LEFT JOIN hits t ON r.telling = t.k"""
 
 #: Links of a batch's rows: by key or whole telling, and by the score of pairs met under a blocking key. Candidates are ids only, each pair once.
 _LINKS = """
@@ -264,17 +266,20 @@ class HistoryIndex:
         self.batches += 1
         folder = f"{self.folder}/batch-{self.batches}"
         sql, moved = self.spark.sql, self._latest()
-        few = lambda rows, more=0: "BROADCAST" if rows * (ROW_BYTES + 24) + more <= BROADCAST_LIMIT else "MERGE"
+        # sides that meet the ledger are broadcast where that is proven small, so that it is not shuffled; others are hashed
+        fits = lambda rows, more=0: rows * (ROW_BYTES + 24) + more <= BROADCAST_LIMIT
+        few = lambda rows: "BROADCAST" if fits(rows) else "MERGE"
+        hashed = lambda rows, more=0: "SHUFFLE_HASH" if fits(rows, more) else "MERGE"
         told = written(sql(_filled(_KNOWN, few=few(2 * extent.rows)), batch=batch, exact=self.ledger.read("exact")), folder, "batch")
         linking = _filled(_LINKS, spans=", ".join(map(str, extent.spans)) or "NULL", agrees=_RUN_AGREES, score=_log_odds(self.weights), threshold=str(THRESHOLD),
-            few_probes=few(extent.probes), few_texts=few(2 * extent.rows, extent.texts))
+            few_probes=few(extent.probes), few_texts=hashed(2 * extent.rows, extent.texts))
         links = sql(linking, told=told, blocks=self.ledger.read("block"), rows=self.ledger.read("row"))
         if self.moved:
             links = sql(_filled(_MOVED_LINKS, few_moved=few(self.moved)), links=links, moved=moved)
         # only rows of the batch and representatives they touch take part
         groups = connected_components(links, folder, a="x", b="y")
-        few_groups = few(groups.counted)
-        absorbed = sql(_filled(_ABSORBED, few_rows=few(extent.rows)), groups=groups, told=told)
+        few_groups = hashed(groups.counted)
+        absorbed = sql(_filled(_ABSORBED, few_rows=hashed(extent.rows)), groups=groups, told=told)
         if self.moved:
             absorbed = sql(_filled(_COMPRESSED, few_groups=few_groups), absorbed=absorbed, moved=moved)
         fields = told.schema["fields"].dataType.simpleString()
@@ -283,6 +288,8 @@ class HistoryIndex:
         self.ledger.append(added.observe(seen, F.count_if(F.col("kind") == "moved").alias("moved")))
         self.moved += seen.get["moved"] or 0
         drop_written(self.spark, folder)
+        if self.batches % FAN == 0:  # shuffle files and broadcasts of batches done go only when the driver collects its garbage
+            self.spark.sparkContext._jvm.System.gc()
 
     def duplicates(self) -> DataFrame:
         """``seq_a, seq_b``: each row that tells a known production, with its first row."""
