@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,16 @@ ROW_BYTES = 48
 FAN = 8
 
 
+@cache
+def _local_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="marquee-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """Fresh subfolder of the folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only on a local master, where that setting is absent (unit tests), a local folder is made and
-    set; on a cluster its absence is an error, as no machine-local folder would do. The subfolder
+    Only on a local master, where that setting is absent (unit tests), a local folder is made; on a
+    cluster its absence is an error, as no machine-local folder would do. The subfolder
     is removed when the JVM ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -30,8 +36,7 @@ def work_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="marquee-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     path = f"{base.rstrip('/')}/marquee-{uuid.uuid4().hex}"
     fs, target = _file_system(spark, path)
     fs.mkdirs(target)
