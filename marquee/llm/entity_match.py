@@ -1,9 +1,11 @@
 """Matching organizations across sources without a shared key: a cascade of exact rules.
 
-Each rule joins two sources on its own combination of attributes, from strict to weak. What a
-rule has matched for a pair of sources is sought no more by the next rules. The confidence of
-a link is the precision of its rule, measured on the matches that independent evidence labels (a
-building that both sides name, where the rule did not use it), smoothed towards a prior.
+Each rule joins two sources on its own combination of attributes, from strict to weak. Records that
+a rule has matched for a pair of sources are anti-joined before the next rule; what stays of them is
+one representative of each combination and source, as the target of records still open. The
+confidence of a link is the precision of its rule: the share of its matches that independent
+evidence (tokens known of both records, such as the hosts of their sites) calls right, smoothed
+towards the precision of all rules together.
 """
 
 from __future__ import annotations
@@ -12,12 +14,12 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import state_code, strip
 from ..operators.components import connected_components
-from ..session import small, work_dir, written
+from ..session import apart, small, work_dir, written
 from . import canon, names
 from .udfs import batch_udf
 
@@ -33,22 +35,29 @@ class Rule:
 
 
 #: From strict to weak. ``name`` is core, kind and given name; ``bare`` leaves the given name out;
-#: ``near_*`` holds the forms of a text that lack one letter, so one edit still joins exactly.
+#: ``sort`` is the kind, or says that a long name has none; ``near_*`` holds the forms of a text that
+#: lack one letter, so one edit still joins exactly.
 RULES = (
     Rule("name, place, state, building", ("name", "place", "state", "site")),
     Rule("name, place, state", ("name", "place", "state")),
     Rule("name, place", ("name", "place"), single="state"),
     Rule("name, state, building", ("name", "state", "site")),
-    Rule("near name, kind, place, state", ("near_core", "kind", "place", "state")),
+    Rule("near name, kind, place, state", ("near_core", "sort", "place", "state")),
     Rule("initial, bare name, place, state", ("bare", "first", "place", "state")),
     Rule("name, near place, state", ("name", "near_place", "state")),
     Rule("initials, place, building", ("letters", "place", "site")),
+    Rule("near name, kind, place", ("near_core", "sort", "place"), single="state"),
+    Rule("name, near place", ("name", "near_place"), single="state"),
     Rule("initials, place, state", ("letters", "place", "state"), single="bare_full"),
 )
 #: The catalogues whose records are matched with one another.
 SOURCES = ("concord", "mti", "trw")
-#: Pseudo-counts of right and of all labelled matches that every rule starts with.
-PRIOR = (4.0, 5.0)
+#: Labelled matches that every rule starts with, as right as those of all rules together are.
+EXTRA = 5.0
+#: Share of right matches where nothing is labelled.
+UNLABELLED = 0.8
+#: Letters from which on a name that states no kind may be met by near forms.
+KINDLESS = 8
 
 
 @batch_udf("near_core array<string>, near_place array<string>")
@@ -60,95 +69,123 @@ def _near(core: pd.Series, place: pd.Series) -> pd.DataFrame:
 def records(rows: DataFrame) -> DataFrame:
     """``key, source, node`` and the attributes the rules use; one row per key and spelling.
 
-    ``rows`` has ``key, source, organization, street, city, state``. Rows without a key, source
-    or organization take no part. ``node`` is the same for equal attributes of one source.
+    ``rows`` has ``key, source, organization, street, city, state`` and may have ``known_as``, an array of
+    names under which evidence is kept. Rows without a key, source or organization take no part. ``node`` is
+    the same for equal attributes of one source.
     """
     text = lambda c: strip(F.col(c)).alias(c)
-    raw = rows.select("key", "source", text("organization"), text("street"), text("city"), state_code(F.col("state")).alias("state")).filter(
+    known_as = F.col("known_as") if "known_as" in rows.columns else F.lit(None).cast("array<string>").alias("known_as")
+    raw = rows.select("key", "source", known_as, text("organization"), text("street"), text("city"), state_code(F.col("state")).alias("state")).filter(
         F.col("key").isNotNull() & F.col("source").isNotNull() & (F.col("organization") != "")).distinct()
     some = lambda c: F.when(c != "", c)
     p = F.col("p")
     parts = raw.withColumn("p", names.name_parts("organization")).withColumn("place", names.locality("city")).withColumn("site", names.building("street"))
     full = parts.select(
-        "key", "source", some(F.col("place")).alias("place"), some(F.col("state")).alias("state"), "site",
+        "key", "source", "known_as", some(F.col("place")).alias("place"), some(F.col("state")).alias("state"), "site",
         F.when((p["acronym"] == "") & (F.concat(p["core"], p["kind"]) != ""), F.concat_ws("|", p["core"], p["kind"], p["given"])).alias("name"),
-        F.when((p["acronym"] == "") & (p["core"] != ""), p["core"]).alias("core"), some(p["kind"]).alias("kind"),
+        F.when((p["acronym"] == "") & (p["core"] != ""), p["core"]).alias("core"), F.when(p["kind"] != "", p["kind"]).when(F.length(p["core"]) >= KINDLESS, "-").alias("sort"),
         F.when((p["acronym"] == "") & (p["core"] != ""), F.concat_ws("|", p["core"], p["kind"])).alias("bare"),
         some(F.left(p["given"], F.lit(1))).alias("first"),
         F.when(p["acronym"] != "", p["acronym"]).when(F.length(p["initials"]) >= 2, p["initials"]).alias("letters"),
         F.when(p["acronym"] == "", F.concat_ws("|", p["core"], p["kind"])).alias("bare_full"),
     )
-    attributes = [c for c in full.columns if c not in ("key", "source")]
+    attributes = [c for c in full.columns if c not in ("key", "source", "known_as")]
     return full.withColumn("node", F.xxhash64("source", *(F.coalesce(F.col(c), F.lit("\x00")) for c in attributes)))
 
 
-def _complete(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Rows that have all attributes of the rule, one for each value of a list attribute."""
-    for c in rule.on:
-        rows = rows.withColumn(c, F.explode(c)) if c.startswith("near_") else rows.filter(F.col(c).isNotNull())
-    return rows
+def _combinations(rule: Rule, number: int) -> Column:
+    """Array of ``h, g, single``: two hashes of each combination of the rule's attributes that a row has, for its ``pair``."""
+    single = F.xxhash64(rule.single) if rule.single else F.lit(0).cast("long")
+    single = F.when(F.col(rule.single).isNotNull(), single) if rule.single else single
+    near = next((c for c in rule.on if c.startswith("near_")), None)
+    plain = [c for c in rule.on if c != near]
 
+    def of(*form: Column) -> Column:
+        by = [*plain, *form]
+        return F.struct(F.xxhash64(F.lit(number), "pair", *by).alias("h"), F.xxhash64(*by, "pair", F.lit(number)).alias("g"), single.alias("single"))
 
-def _labelled(rows: DataFrame, rule: Rule) -> DataFrame:
-    """``labelled, right``: combinations of a rule over all records whose two sources both name
-    buildings, and those of them where they name a common one."""
-    by = [*rule.on, "pair"]
-    told = _complete(rows.filter(F.col("site").isNotNull()), rule).groupBy(*by, "site").agg(
-        F.min("source").alias("s1"), F.max("source").alias("s2"))
-    each = told.groupBy(*by).agg((F.min("s1") != F.max("s2")).alias("both"), F.max((F.col("s1") != F.col("s2")).cast("int")).alias("right")).filter("both")
-    return each.agg(F.count(F.lit(1)).alias("labelled"), F.coalesce(F.sum("right"), F.lit(0)).alias("right"))
+    found = F.transform(near, lambda form: of(form)) if near else F.array(of())
+    whole = reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in plain))
+    return F.when(whole, found).otherwise(F.array().cast("array<struct<h:bigint,g:bigint,single:bigint>>"))
 
 
-def cascade(rows: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, sources: tuple[str, ...] = SOURCES) -> tuple[DataFrame, DataFrame, DataFrame]:
+def labelled(links: DataFrame, evidence: DataFrame) -> DataFrame:
+    """``rule, labelled, right``: matches ``rule, node, other`` of which both records have tokens in ``evidence``
+    (``node, token``), and those of them that share one. Each match counts once."""
+    match = links.select("rule", "node", "other").distinct()
+    side = lambda c, mine: match.join(apart(evidence.withColumnRenamed("node", c)), c).select(*match.columns, "token", F.lit(mine).alias("a"), F.lit(not mine).alias("b"))
+    tokens = side("node", True).unionByName(side("other", False)).groupBy(*match.columns, "token").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    each = tokens.groupBy(*match.columns).agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max(F.col("a") & F.col("b")).alias("right"))
+    return each.filter("a and b").groupBy("rule").agg(F.count(F.lit(1)).alias("labelled"), F.count_if("right").alias("right"))
+
+
+def cascade(rows: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, sources: tuple[str, ...] = SOURCES, evidence: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Records, links and rule precisions.
 
-    Links are ``node, pair, rep, rule``: under rule number ``rule`` the node met a record of the
-    other source of ``pair``, and ``rep`` stands for all records of that combination. A rule is an
-    exact join of the open records with the combinations that hold both sources, found by an
-    aggregation that combines map-side; so a combination of a million records gives a million
-    links, not their square. Matched records seek no further in the pair: a later rule only takes
-    up combinations that hold a record still unmatched, which may then meet a matched one, such
-    as another spelling of its source.
+    Links are ``node, pair, rep, other, rule``: under rule number ``rule`` the node, open till then in
+    the pair of sources or standing for what was matched, met a combination that both sources hold, which ``rep``, its smallest node of
+    either source, stands for; ``other`` is the one of the other source. Combinations of all rules are
+    hashed and aggregated once, which combines map-side; so a combination of a million records gives
+    a million links, not their square. A rule then reads its own combinations, the records still open
+    and those that stand for a combination matched before; what it matches is anti-joined from these,
+    but for the one record of each source that stands for the combination from now on. So another
+    spelling still finds the ones matched before it, and a combination without an open record is not taken up.
     """
     known = written(records(rows), folder, "records")
-    nodes = known.drop("key").dropDuplicates(["node"]).withColumn("near", _near("core", "place")).select("*", "near.*").drop("near", "core")
-    opened = nodes.withColumn("other", F.explode(F.filter(F.array(*map(F.lit, sources)), lambda x: x != F.col("source")))).withColumn(
-        "pair", F.concat_ws("~", F.least("source", "other"), F.greatest("source", "other"))).drop("other").withColumn("open", F.lit(True))
-    every = opened = written(opened, folder, "open")
-    links, measures = [], []
-    for number, rule in enumerate(rules):
-        side = _complete(opened, rule)
-        by = [*rule.on, "pair"]
-        checks = [F.min(rule.single).alias("s1"), F.max(rule.single).alias("s2")] if rule.single else [F.lit(0).alias("s1"), F.lit(0).alias("s2")]
-        groups = side.groupBy(*by).agg(F.min("node").alias("rep"), F.min("source").alias("o1"), F.max("source").alias("o2"), F.max("open").alias("sought"), *checks).filter(
-            F.col("sought") & (F.col("o1") != F.col("o2")) & (F.coalesce(F.col("s1") == F.col("s2"), F.lit(True)))).drop("o1", "o2", "s1", "s2", "sought")
-        matched = written(side.join(groups, by).select("node", "pair", "rep", "source", "site").withColumn("rule", F.lit(number)), folder, "links")
-        links.append(matched.select("node", "pair", "rep", "rule"))
-        if "site" not in rule.on:
-            measures.append(_labelled(every, rule).withColumn("rule", F.lit(number)))
-        hit = matched.select("node", "pair").distinct().withColumn("hit", F.lit(True))
-        opened = written(opened.join(hit, ["node", "pair"], "left").withColumn("open", F.col("open") & F.col("hit").isNull()).drop("hit"), folder, "open")
+    nodes = known.drop("key", "known_as").dropDuplicates(["node"]).withColumn("near", _near("core", "place")).select("*", "near.*").drop("near", "core")
+    code = F.array_position(F.array(*map(F.lit, sources)), F.col("source")).cast("int")
+    others = F.filter(F.array(*(F.lit(i + 1) for i in range(len(sources)))), lambda x: x != F.col("code"))
+    by_pair = nodes.withColumn("code", code).filter(F.col("code") > 0).withColumn("partner", F.explode(others)).withColumn(
+        "pair", F.least("code", "partner") * len(sources) + F.greatest("code", "partner")).withColumn("low", F.col("code") < F.col("partner"))
+    opened = written(by_pair.select("node", "pair", "low", *(_combinations(rule, i).alias(f"r{i}") for i, rule in enumerate(rules)), F.lit(True).alias("open")), folder, "open")
+    entries = opened.select("node", "low", F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), F.col(f"r{i}").alias("c")) for i in range(len(rules))))).alias("e")).select(
+        "node", "low", "e.rule", F.inline("e.c"))
+    least = lambda low: F.min(F.when(F.col("low") == low, F.col("node")))
+    targets = entries.groupBy("rule", "h", "g").agg(least(True).alias("a"), least(False).alias("b"), F.min("single").alias("s1"), F.max("single").alias("s2")).filter(
+        F.col("a").isNotNull() & F.col("b").isNotNull() & F.coalesce(F.col("s1") == F.col("s2"), F.lit(True))).drop("s1", "s2")
+    targets = written(targets, folder, "targets", "rule")
+    links = []
+    for number in range(len(rules)):
+        side = opened.select("node", "pair", "low", "open", F.inline(f"r{number}")).drop("single")
+        hits = side.join(apart(targets.filter(F.col("rule") == number).drop("rule")), ["h", "g"])
+        sought = hits.filter("open").select("h", "g").distinct()
+        met = hits.join(apart(sought), ["h", "g"], "left_semi")
+        matched = written(met.select("node", "pair", F.explode(F.array("a", "b")).alias("rep"), F.when(F.col("low"), F.col("b")).otherwise(F.col("a")).alias("other")).distinct().withColumn(
+            "rule", F.lit(number)), folder, "links")
+        links.append(matched)
+        if number + 1 < len(rules):
+            # what is matched goes, but for the nodes that stand for a combination: they stay as targets
+            done = matched.groupBy("node", "pair").agg(F.max(F.col("node") == F.col("rep")).alias("stands"))
+            left = opened.drop(f"r{number}").join(apart(done), ["node", "pair"], "left").filter(F.coalesce("stands", F.lit(True)))
+            opened = written(left.withColumn("open", F.col("open") & F.col("stands").isNull()).drop("stands"), folder, "open")
+    every = reduce(DataFrame.unionByName, links)
     titles = rows.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "rule int, rule_name string")
-    measured = titles.join(written(reduce(DataFrame.unionByName, measures), folder, "measures"), "rule", "left").select(
-        "rule", "rule_name", F.coalesce("labelled", F.lit(0)).alias("labelled"), F.coalesce("right", F.lit(0)).alias("right"))
-    precisions = measured.withColumn("confidence", (F.col("right") + PRIOR[0]) / (F.col("labelled") + PRIOR[1]))
-    return known, reduce(DataFrame.unionByName, links), precisions
-
-
-def matched_records(rows: DataFrame, rules: tuple[Rule, ...] = RULES, sources: tuple[str, ...] = SOURCES) -> DataFrame:
+    if evidence is None:
+        counts = every.select("rule", F.lit(0).cast("long").alias("labelled"), F.lit(0).cast("long").alias("right")).limit(0)
+    else:
+        counts = labelled(every, known.select("node", F.explode("known_as").alias("known_as")).distinct().join(apart(evidence), "known_as").select("node", "token").distinct())
+    measures = titles.join(apart(counts), "rule", "left").select("rule", "rule_name", F.coalesce("labelled", F.lit(0)).alias("labelled"), F.coalesce("right", F.lit(0)).alias("right"))
+    measures = written(measures, folder, "measures", measured=True)
+    total = measures.agg((F.sum("right") + EXTRA * UNLABELLED).alias("r"), (F.sum("labelled") + EXTRA).alias("n")).first()
+    precisions = measures.withColumn("confidence", (F.col("right") + EXTRA * total["r"] / total["n"]) / (F.col("labelled") + EXTRA))
+    precisions.measured = measures.measured
+    return known, every, precisions
+
+
+def matched_records(rows: DataFrame, rules: tuple[Rule, ...] = RULES, sources: tuple[str, ...] = SOURCES, evidence: DataFrame | None = None) -> DataFrame:
     """``key, source, entity, rule_name, confidence``: each record's organization over all sources.
 
-    ``confidence`` is that of the strictest rule that linked the record; an unlinked record is its
-    own entity with null rule and confidence.
+    ``confidence`` is that of the strictest rule that linked the record, measured on ``evidence``
+    (``known_as, token``) where it is given; an unlinked record is its own entity with null rule and confidence.
     """
     folder = work_dir(rows.sparkSession)
-    known, links, precisions = cascade(rows, folder, rules, sources)
-    groups = written(connected_components(links.select(F.col("node").alias("a"), F.col("rep").alias("b")), folder), folder, "entities")
+    known, links, precisions = cascade(rows, folder, rules, sources, evidence)
+    groups = connected_components(links.select(F.col("node").alias("a"), F.col("rep").alias("b")), folder)
     best = links.groupBy("node").agg(F.min("rule").alias("rule"))
     told = best.join(small(precisions), "rule").select("node", "rule_name", "confidence")
     return (
-        known.select("key", "source", "node").distinct().join(groups, "node", "left")
-        .withColumn("entity", F.coalesce("component", "node")).join(told, "node", "left")
+        known.select("key", "source", "node").distinct().join(small(groups.withColumnRenamed("node", "n"), groups), F.col("node") == F.col("n"), "left")
+        .withColumn("entity", F.coalesce("component", "node")).join(apart(told), "node", "left")
         .groupBy("key", "source", "entity").agg(F.max_by("rule_name", "confidence").alias("rule_name"), F.max("confidence").alias("confidence"))
     )
 
@@ -161,5 +198,5 @@ def cross_source_pairs(members: DataFrame, *, sources: tuple[str, ...] = SOURCES
     """
     m = members.select("key", "source", "entity").distinct()
     a = m.withColumn("partner", F.explode(F.filter(F.array(*map(F.lit, sources)), lambda x: x > F.col("source")))).select(F.col("key").alias("x"), "entity", F.col("partner").alias("source"))
-    pairs = a.join(m.select(F.col("key").alias("y"), "entity", "source"), ["entity", "source"]).filter(F.col("x") != F.col("y"))
+    pairs = a.join(apart(m.select(F.col("key").alias("y"), "entity", "source")), ["entity", "source"]).filter(F.col("x") != F.col("y"))
     return pairs.select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import org_key
+from ..functions.web import email_domain, email_rejection, site_url
 from ..operators.spatial import containing_region
 from . import addresses, entity_match, fusion, history, mixing, names, packing, quality, tokens
 
@@ -85,9 +87,23 @@ def _with_mapped_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         "state", F.when(blank, F.coalesce("mapped", F.lit(""))).otherwise(F.col("state"))).drop("spot", "mapped", "lat", "lng")
 
 
+def _host(site: str) -> Column:
+    return F.regexp_extract(F.lower(site_url(F.col(site))), r"^https?://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]+)", 1)
+
+
+def registry_hosts(orgs: DataFrame) -> DataFrame:
+    """``known_as, token``: the hosts of the usable sites and addresses of each registry key."""
+    mail = F.when(email_rejection(F.col("email")) == "", email_domain(F.col("email"))).otherwise("")
+    return orgs.select(F.col("key").alias("known_as"), F.explode(F.array(_host("website"), mail)).alias("token")).filter(F.col("known_as").isNotNull() & (F.col("token") != "")).distinct()
+
+
 def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each production's organization over all sources, with rule and confidence."""
-    return entity_match.matched_records(_with_mapped_state(spark, sf_dir))
+    # evidence stands under the registry key and, for a listing's own site, under the production key
+    known_as = F.array(org_key(F.col("organization"), F.col("city"), F.col("state")), F.concat(F.lit("key:"), "key"))
+    own = table(spark, sf_dir, "productions").select(F.concat(F.lit("key:"), "key").alias("known_as"), _host("org_website").alias("token")).filter("token <> '' AND known_as IS NOT NULL").distinct()
+    evidence = registry_hosts(table(spark, sf_dir, "organizations")).unionByName(own)
+    return entity_match.matched_records(_with_mapped_state(spark, sf_dir).withColumn("known_as", known_as), evidence=evidence)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

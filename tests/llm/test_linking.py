@@ -4,6 +4,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from marquee.llm import addresses, canon, entity_match, history, names
+from marquee.session import work_dir
 
 
 def test_segment_join_against_all_pairs(spark):
@@ -65,6 +66,30 @@ def test_cascade(spark):
     assert entity_match.matched_records(df.limit(0)).count() == 0
 
 
+def test_confidence_is_the_precision_of_a_rule(spark):
+    rules = (entity_match.Rule("name, place, state", ("name", "place", "state")), entity_match.Rule("name, place", ("name", "place")))
+    rows, tokens = [], []
+    for i in range(120):
+        strict, right = i < 60, i % 10 < (9 if i < 60 else 5)
+        rows += [(f"m{i}", "mti", f"Sample{i}x Players", "", f"Town{i}", "TX", [f"m{i}"]), (f"c{i}", "concord", f"Sample{i}x Players", "", f"Town{i}", "TX" if strict else "", [f"c{i}"])]
+        tokens += [(f"m{i}", f"host{i}"), (f"m{i}", "other"), (f"c{i}", f"host{i}" if right else f"elsewhere{i}")]
+    df = spark.createDataFrame(rows, "key string, source string, organization string, street string, city string, state string, known_as array<string>")
+    evidence = spark.createDataFrame(tokens, "known_as string, token string")
+    got = {r.rule_name: r.confidence for r in entity_match.matched_records(df, rules, evidence=evidence).filter("confidence is not null").select("rule_name", "confidence").distinct().collect()}
+    assert set(got) == {r.name for r in rules} and got["name, place, state"] > got["name, place"]
+    assert abs(got["name, place, state"] - 0.9) < 0.03 and abs(got["name, place"] - 0.5) < 0.05
+
+
+def test_matched_records_are_anti_joined(spark):
+    rules = (entity_match.Rule("name, place, state", ("name", "place", "state")), entity_match.Rule("name, place", ("name", "place")))
+    rows = [("m1", "mti", "Sample Players", "", "Exampleton", "TX"), ("c1", "concord", "Sample Players", "", "Exampleton", "TX"), ("c2", "concord", "Sample Players", "", "Exampleton", "")]
+    df = spark.createDataFrame(rows, "key string, source string, organization string, street string, city string, state string")
+    known, links, _ = entity_match.cascade(df, work_dir(spark), rules)
+    met = {(r.key, r.rule) for r in links.join(known, "node").select("key", "rule").distinct().collect()}
+    assert {m for m in met if m[1] == 0} == {("m1", 0), ("c1", 0)} and ("c2", 1) in met
+    assert len({r.entity for r in entity_match.matched_records(df, rules).collect()}) == 1
+
+
 def test_history(spark):
     day = lambda n: datetime(2026, 7, n, 5)
     d = lambda m, n: date(2026, m, n)
