@@ -77,7 +77,8 @@ def connected_components(edges: DataFrame, folder: str, *, a: str = "a", b: str
     work, before = stored(work)
     if before[0] <= task_edges:
         kind = work.schema["u"].dataType.simpleString()
-        return _counted(written(work.coalesce(1).mapInArrow(_union_find, f"node {kind}, component {kind}"), folder, "components"), before[0])
+        # not written: over the written edges it is one short task, for each use
+        return _counted(work.coalesce(1).mapInArrow(_union_find, f"node {kind}, component {kind}"), before[0])
     for _ in range(max_rounds):
         if not before[0]:
             break
