@@ -182,23 +182,23 @@ SELECT seq AS x, explode(links) AS y FROM {told} UNION ALL SELECT a_seq, rep FRO
 _MOVED_LINKS = """
 SELECT /*+ {few_moved}(m) */ x, coalesce(m.now, y) AS y FROM {links} LEFT JOIN {moved} m ON y = m.old"""
 
-#: What the ledger takes up: a batch's rows under their representatives, and representatives merged into smaller ones.
+#: What the ledger takes up: a batch's rows under their representatives, and representatives merged into smaller ones,
+#: which are the nodes of the groups that are no rows of the batch.
 _ADDED = """
 SELECT kind, span, k, slip, seq, fields, rep FROM (SELECT seq, rep, inline(concat(
-    array(named_struct('kind', 'member', 'span', int(NULL), 'k', seq, 'slip', int(NULL), 'fields', {none})),
+    array(named_struct('kind', IF(seq IS NULL, 'moved', 'member'), 'span', int(NULL), 'k', coalesce(seq, old), 'slip', int(NULL), 'fields', {none})),
     IF(new_native, array(named_struct('kind', 'exact', 'span', int(NULL), 'k', native, 'slip', int(NULL), 'fields', {none})), array()),
     IF(fresh, concat(
       array(named_struct('kind', 'exact', 'span', int(NULL), 'k', telling, 'slip', int(NULL), 'fields', {none}), named_struct('kind', 'row', 'span', int(NULL), 'k', seq, 'slip', int(NULL), 'fields', fields)),
       transform(own, b -> named_struct('kind', 'block', 'span', b.span, 'k', b.block, 'slip', b.slip, 'fields', {none}))), array())))
-  FROM (SELECT /*+ {few_groups}(g) */ t.*, coalesce(g.component, t.seq) AS rep FROM {told} t LEFT JOIN {groups} g ON t.seq = g.node))
-UNION ALL SELECT 'moved', NULL, k, NULL, NULL, NULL, rep FROM {absorbed}"""
+  FROM (SELECT /*+ {few_groups}(g) */ t.*, g.node AS old, coalesce(g.component, t.seq) AS rep FROM {told} t FULL JOIN {groups} g ON t.seq = g.node WHERE t.seq IS NOT NULL OR g.node <> g.component))"""
 
 _ABSORBED = """
 SELECT /*+ {few_rows}(t) */ node AS k, component AS rep FROM (SELECT * FROM {groups} WHERE node <> component) LEFT ANTI JOIN {told} t ON node = t.seq"""
 
 #: Paths are compressed: what was merged into an absorbed representative names its new one.
 _COMPRESSED = """
-SELECT k, rep FROM {absorbed} UNION ALL SELECT /*+ {few_groups}(a) */ m.old, a.rep FROM {moved} m JOIN {absorbed} a ON m.now = a.k"""
+SELECT /*+ {few_groups}(a) */ 'moved' AS kind, m.old AS k, a.rep FROM {moved} m JOIN {absorbed} a ON m.now = a.k"""
 
 
 @dataclass(frozen=True)
@@ -279,12 +279,12 @@ class HistoryIndex:
         # only rows of the batch and representatives they touch take part
         groups = connected_components(links, folder, a="x", b="y")
         few_groups = hashed(groups.counted)
-        absorbed = sql(_filled(_ABSORBED, few_rows=hashed(extent.rows)), groups=groups, told=told)
-        if self.moved:
-            absorbed = sql(_filled(_COMPRESSED, few_groups=few_groups), absorbed=absorbed, moved=moved)
         fields = told.schema["fields"].dataType.simpleString()
+        added = sql(_filled(_ADDED, none=f"cast(NULL AS {fields})", few_groups=few_groups), told=told, groups=groups)
+        if self.moved:
+            absorbed = sql(_filled(_ABSORBED, few_rows=hashed(extent.rows)), groups=groups, told=told)
+            added = added.unionByName(sql(_filled(_COMPRESSED, few_groups=few_groups), absorbed=absorbed, moved=moved), allowMissingColumns=True)
         seen = Observation()
-        added = sql(_filled(_ADDED, none=f"cast(NULL AS {fields})", few_groups=few_groups), told=told, groups=groups, absorbed=absorbed)
         self.ledger.append(added.observe(seen, F.count_if(F.col("kind") == "moved").alias("moved")))
         self.moved += seen.get["moved"] or 0
         drop_written(self.spark, folder)
