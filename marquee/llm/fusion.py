@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..functions.web import email_rejection, site_url
-from ..session import work_dir, written
+from ..session import apart, work_dir, written
 
 #: Most sources a run may have: the driver holds a number for each pair of them.
 MOST_SOURCES = 500
@@ -68,9 +68,9 @@ def _posteriors(values: DataFrame, model: SourceModel, settings: FusionSettings)
     """``values`` with ``score`` and ``p``, its share of the item's posterior; no array of an item's values is built."""
     scored = values.withColumn("score", F.col("log_prior") + vote_score(F.col("sources"), model, settings))
     top = scored.groupBy("key", "field").agg(F.max("score").alias("top"))
-    scored = scored.join(top, ["key", "field"]).withColumn("e", F.exp(F.greatest(F.col("score") - F.col("top"), F.lit(-700.0))))
+    scored = scored.join(apart(top), ["key", "field"]).withColumn("e", F.exp(F.greatest(F.col("score") - F.col("top"), F.lit(-700.0))))
     total = scored.groupBy("key", "field").agg(F.sum("e").alias("total"))
-    return scored.join(total, ["key", "field"]).withColumn("p", F.col("e") / F.col("total")).drop("e", "total", "top")
+    return scored.join(apart(total), ["key", "field"]).withColumn("p", F.col("e") / F.col("total")).drop("e", "total", "top")
 
 
 def estimated_sources(values: DataFrame, settings: FusionSettings = FusionSettings()) -> SourceModel:
@@ -87,7 +87,7 @@ def estimated_sources(values: DataFrame, settings: FusionSettings = FusionSettin
         both = p.withColumn("a", F.explode("sources")).withColumn("b", F.explode("sources")).filter(F.col("a") < F.col("b")).select("a", "b", F.col("p").alias("t"), (1 - F.col("p")).alias("f"))
         sums = one.unionByName(both).groupBy("a", "b").agg(F.sum("t").alias("t"), F.sum("f").alias("f"), F.count(F.lit(1)).alias("c"))
         by_item = values.select("key", "field", F.explode("sources").alias("a")).distinct()
-        shared = by_item.join(by_item.withColumnRenamed("a", "b"), ["key", "field"]).filter(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("items"))
+        shared = by_item.join(apart(by_item.withColumnRenamed("a", "b")), ["key", "field"]).filter(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("items"))
         rows = sums.join(shared, ["a", "b"], "left").limit(MOST_SOURCES * MOST_SOURCES + 1).collect()
         if len([r for r in rows if r["b"] is None]) > MOST_SOURCES:
             raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -109,12 +109,12 @@ def estimated_sources(values: DataFrame, settings: FusionSettings = FusionSettin
 
 
 def fused(claims: DataFrame, settings: FusionSettings = FusionSettings()) -> DataFrame:
-    """``key, field, kept, posterior, values`` from claims ``key, field, value, source, log_prior``.
+    """``key, field, kept, posterior, source, values`` from claims ``key, field, value, source, log_prior``.
 
     A claim whose ``log_prior`` is null cannot be true: it counts among the field's different
     values but is never kept. Null keys and blank or null values are no claims; a null source is
     one of its own name. Equal posteriors go to the greater value as a string. Fields with a
-    single value keep it without estimating anything.
+    single value keep it without estimating anything. ``source`` is the most accurate of those that state the kept value.
     """
     folder = work_dir(claims.sparkSession)
     stated = claims.filter(F.col("key").isNotNull() & (strip(F.col("value")) != ""))
@@ -123,23 +123,37 @@ def fused(claims: DataFrame, settings: FusionSettings = FusionSettings()) -> Dat
     values = written(values, folder, "values")
     count = values.groupBy("key", "field").agg(F.count(F.lit(1)).alias("values"))
     possible = values.filter(F.col("log_prior").isNotNull())
-    disputed = written(possible.join(count.filter(F.col("values") > 1).select("key", "field"), ["key", "field"], "left_semi"), folder, "disputed")
+    disputed = written(possible.join(apart(count.filter(F.col("values") > 1).select("key", "field")), ["key", "field"], "left_semi"), folder, "disputed")
     model = estimated_sources(disputed, settings)
-    best = _posteriors(disputed, model, settings).groupBy("key", "field").agg(F.max_by(F.struct("value", "p"), F.struct("score", "value")).alias("k"))
-    kept = best.select("key", "field", F.col("k.value").alias("kept"), F.col("k.p").alias("posterior"))
-    sole = possible.join(count.filter(F.col("values") == 1), ["key", "field"]).select("key", "field", F.col("value").alias("kept"), F.lit(1.0).alias("posterior"))
-    return kept.unionByName(sole).join(count, ["key", "field"])
+    best = _posteriors(disputed, model, settings).groupBy("key", "field").agg(F.max_by(F.struct("value", "p", "sources"), F.struct("score", "value")).alias("k"))
+    top = lambda sources: F.array_min(F.transform(sources, lambda s: F.struct((-_lookup(model.accuracy, s, settings.start_accuracy)).alias("a"), s.alias("s"))))["s"]
+    kept = best.select("key", "field", F.col("k.value").alias("kept"), F.col("k.p").alias("posterior"), top(F.col("k.sources")).alias("source"))
+    sole = possible.join(apart(count.filter(F.col("values") == 1)), ["key", "field"]).select("key", "field", F.col("value").alias("kept"), F.lit(1.0).alias("posterior"), top(F.col("sources")).alias("source"))
+    return kept.unionByName(sole).join(apart(count), ["key", "field"])
 
 
-def registry_claims(orgs: DataFrame) -> DataFrame:
+def surviving_records(kept: DataFrame) -> DataFrame:
+    """``key, name, website, website_source, email``: one record per key from the rows of :func:`fused`.
+
+    ``website_source`` is the source of the kept website. A field without a value to keep is blank; a key
+    without any has no record.
+    """
+    field = lambda name, c="kept": F.coalesce(F.max(F.when(F.col("field") == name, F.col(c))), F.lit("")).alias(name if c == "kept" else "website_source")
+    return kept.groupBy("key").agg(field("name"), field("website"), field("website", "source"), field("email"))
+
+
+def registry_claims(orgs: DataFrame, *, by_rule: bool = True) -> DataFrame:
     """Claims of registry rows for ``name``, ``website`` and ``email``.
 
+    Without ``by_rule`` all usable values are equally likely beforehand, and only votes, accuracies and
+    copying decide.
+
     Prior odds carry what is known beside the votes. A site or address that the checks reject
     cannot be true; among the others each day later it was checked outweighs any votes (blank
     days are the oldest). A name without both cases cannot be the one to show; among the others
     each letter more outweighs any votes. So votes decide between equals.
     """
-    step = 1e4  # more than all votes for a value can add up to
+    step = 1e4 if by_rule else 0.0  # more than all votes for a value can add up to
     day = F.coalesce(F.datediff(F.expr("try_to_date(trim(contact_checked), 'yyyy-M-d')"), F.lit("1900-01-01").cast("date")), F.lit(0))
     letters = F.col("name").rlike(r"\p{Lu}") & F.col("name").rlike(r"\p{Ll}")
     claim = lambda name, value, ok, prior: F.struct(F.lit(name).alias("field"), value.alias("value"), F.when(ok, prior * step).cast("double").alias("log_prior"))

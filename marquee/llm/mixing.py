@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..session import small, work_dir, written
+from ..session import apart, small, work_dir, written
 
 #: Buckets of the hash by which documents of one length are ranked.
 BUCKETS = 4096
+#: Copies of one row that are written out at a time.
+COPIES = 1 << 16
 #: Lengths of the longest document that are left to the knapsack.
 SLACK = 4
 
@@ -81,17 +83,20 @@ def mixed(docs: DataFrame, targets: DataFrame, *, id: str = "doc_id", tokens: st
     """
     folder = work_dir(docs.sparkSession)
     wanted = targets.filter((F.col("target_share") > 0) & (F.col("max_repeats") > 0)).select("source", F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("long").alias("max_repeats"))
-    used = docs.select(F.col(id).alias("doc_id"), "source", F.col(tokens).cast("long").alias("n_tokens")).filter(F.col("n_tokens") > 0).withColumn(
+    wanted = written(wanted, folder, "targets", measured=True)
+    used = docs.select(F.col(id).alias("doc_id"), "source", F.col(tokens).cast("long").alias("n_tokens")).filter(F.col("n_tokens") > 0)
+    # equal rows are one with a number of copies, so that a null or repeated id is no heavy bucket
+    used = used.join(small(wanted.select("source"), wanted), "source", "left_semi").groupBy("doc_id", "source", "n_tokens").agg(F.count(F.lit(1)).alias("copies")).withColumn(
         "h", F.xxhash64(F.lit(seed), "doc_id", "source", "n_tokens")).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
-    used = written(used.join(small(wanted.select("source")), "source", "left_semi"), folder, "documents")
-    buckets = written(used.groupBy("source", "n_tokens", "bucket").agg(F.count(F.lit(1)).alias("n")), folder, "buckets")
+    used = written(used, folder, "documents")
+    buckets = written(used.groupBy("source", "n_tokens", "bucket").agg(F.sum("copies").alias("n")), folder, "buckets")
     sizes = buckets.groupBy("source").agg(F.sum(F.col("n") * F.col("n_tokens")).alias("have"))
-    budget = wanted.join(sizes, "source", "left").withColumn("have", F.coalesce("have", F.lit(0)))
+    budget = wanted.join(apart(sizes), "source", "left").withColumn("have", F.coalesce("have", F.lit(0)))
     total = F.min(F.col("have") * F.col("max_repeats") / F.col("target_share")).over(W.partitionBy(F.lit(0)))  # one row per source
     budget = budget.withColumn("budget", F.floor(total * F.col("target_share") + 1e-6).cast("long"))
     budget = budget.withColumn("rounds", F.least(F.col("max_repeats"), F.floor(F.try_divide(F.col("budget"), F.col("have"))).cast("long"))).withColumn(
         "rest", F.col("budget") - F.col("rounds") * F.col("have"))
-    budget = written(budget.filter(F.col("have") > 0), folder, "budgets")
+    budget = written(budget.filter(F.col("have") > 0), folder, "budgets", measured=True)
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         row = part.iloc[0]
@@ -103,16 +108,18 @@ def mixed(docs: DataFrame, targets: DataFrame, *, id: str = "doc_id", tokens: st
     takes = lengths.groupBy("source").applyInPandas(fit, "source string, n_tokens long, take long")
     # two-level rank: whole hash buckets below the mark, and a rank inside the one that holds it
     running = W.partitionBy("source", "n_tokens").orderBy("bucket")
-    marks = buckets.join(takes.filter(F.col("take") > 0), ["source", "n_tokens"]).withColumn("upto", F.sum("n").over(running)).withColumn(
+    marks = buckets.join(apart(takes.filter(F.col("take") > 0)), ["source", "n_tokens"]).withColumn("upto", F.sum("n").over(running)).withColumn(
         "part", F.least(F.col("n"), F.greatest(F.lit(0), F.col("take") - F.col("upto") + F.col("n")))).filter(F.col("part") > 0)
     marks = written(marks.select("source", "n_tokens", "bucket", "n", "part"), folder, "marks")
-    placed = used.join(marks, ["source", "n_tokens", "bucket"], "left")
-    inside = W.partitionBy("source", "n_tokens", "bucket").orderBy("h", "doc_id")
-    cut = placed.filter(F.col("part") < F.col("n")).withColumn("extra", (F.row_number().over(inside) <= F.col("part")).cast("long"))
-    clear = placed.filter(F.col("part").isNull() | (F.col("part") == F.col("n"))).withColumn("extra", F.when(F.col("part").isNull(), 0).otherwise(1).cast("long"))
-    chosen = cut.unionByName(clear).join(small(budget.select("source", "target_share", "rounds")), "source").withColumn(
-        "repeats", F.col("rounds") + F.col("extra")).filter(F.col("repeats") > 0)
+    placed = used.join(apart(marks), ["source", "n_tokens", "bucket"], "left")
+    inside = W.partitionBy("source", "n_tokens", "bucket").orderBy("h", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cut = placed.filter(F.col("part") < F.col("n")).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("copies"), F.col("part") - F.sum("copies").over(inside) + F.col("copies"))))
+    clear = placed.filter(F.col("part").isNull() | (F.col("part") == F.col("n"))).withColumn("extra", F.when(F.col("part").isNull(), 0).otherwise(F.col("copies")).cast("long"))
+    each = cut.unionByName(clear).withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), "copies", F.lit(COPIES).cast("long")))).withColumn(
+        "copy", F.explode(F.sequence("first", F.least("copies", F.col("first") + COPIES - 1))))
+    chosen = each.join(small(budget.select("source", "target_share", "rounds"), budget), "source").withColumn(
+        "repeats", F.col("rounds") + (F.col("copy") <= F.col("extra")).cast("long")).filter(F.col("repeats") > 0)
     chosen = written(chosen.select("doc_id", "source", "n_tokens", "repeats", "target_share"), folder, "chosen")
     got = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("got"))
     shares = got.withColumn("actual_share", F.col("got") / F.sum("got").over(W.partitionBy(F.lit(0)))).select("source", "actual_share")  # one row per source
-    return chosen.join(small(shares), "source").select("doc_id", "source", "n_tokens", "repeats", "target_share", "actual_share")
+    return chosen.join(small(shares, budget), "source").select("doc_id", "source", "n_tokens", "repeats", "target_share", "actual_share")

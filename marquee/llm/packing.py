@@ -80,7 +80,7 @@ def _pack_shards(items: DataFrame, capacity: int) -> DataFrame:
     """Columns of ``items`` plus ``bin`` and ``filled``; one task per shard."""
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["doc", "part"], kind="stable").reset_index(drop=True)
+        part = part.sort_values(["doc", "part", "row"], kind="stable").reset_index(drop=True)
         sizes = part["tokens"].to_numpy()
         number, filled = np.zeros(len(part), dtype=np.int64), np.zeros(len(part), dtype=np.int64)
         for i, inside in enumerate(best_two_fit(sizes, capacity)):
@@ -99,10 +99,11 @@ def packed(items: DataFrame, capacity: int, *, id: str = "doc_id", tokens: str =
     """
     folder = work_dir(items.sparkSession)
     size = F.coalesce(F.col(tokens), F.lit(0)).cast("long")
-    whole = items.select(F.col(id).cast("string").alias("doc"), F.greatest(size, F.lit(0)).alias("size"))
+    # ids may be null or repeated: a row is known by its own number, and by that it is spread
+    whole = items.select(F.col(id).cast("string").alias("doc"), F.greatest(size, F.lit(0)).alias("size"), F.monotonically_increasing_id().alias("row"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)).cast("int")
-    pieces = whole.withColumn("parts", parts).select("doc", "parts", "size", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select(
-        "doc", "part", "parts", F.least(F.lit(capacity), F.col("size") - F.col("part").cast("long") * capacity).cast("long").alias("tokens"))
+    pieces = whole.withColumn("parts", parts).select("doc", "row", "parts", "size", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select(
+        "doc", "row", "part", "parts", F.least(F.lit(capacity), F.col("size") - F.col("part").cast("long") * capacity).cast("long").alias("tokens"))
     rest = written(pieces, folder, "items")
     done = []
     for turn in range(ROUNDS):
@@ -110,15 +111,15 @@ def packed(items: DataFrame, capacity: int, *, id: str = "doc_id", tokens: str =
         if not count:
             break
         shards = max(1, -(-count // shard_items))
-        sharded = rest.withColumn("shard", F.pmod(F.xxhash64("doc", "part", F.lit(turn)), F.lit(shards)).cast("int"))
+        sharded = rest.withColumn("shard", F.pmod(F.xxhash64("row", "part", F.lit(turn)), F.lit(shards)).cast("int"))
         result = written(_pack_shards(sharded, capacity).withColumn("turn", F.lit(turn)), folder, "packs")
         last = shards == 1 or turn == ROUNDS - 1
         done.append(result if last else result.filter(F.col("filled") >= GOOD_FILL * capacity))
         if last:
             break
-        rest = result.filter(F.col("filled") < GOOD_FILL * capacity).select("doc", "part", "parts", "tokens")
+        rest = result.filter(F.col("filled") < GOOD_FILL * capacity).select("doc", "row", "part", "parts", "tokens")
     if not done:
-        return pieces.withColumn("pack", F.lit(0).cast("long"))
+        return pieces.drop("row").withColumn("pack", F.lit(0).cast("long"))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

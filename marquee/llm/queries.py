@@ -55,6 +55,18 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.fused(fusion.registry_claims(orgs)).filter(F.col("values") > 1).select("key", "field", "kept")
 
 
+def p6_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most probable value of each disputed field by votes, source accuracies and copying alone."""
+    orgs = table(spark, sf_dir, "organizations").select("key", "name", "website", "website_source", "email", "contact_checked")
+    return fusion.fused(fusion.registry_claims(orgs, by_rule=False)).filter(F.col("values") > 1).select("key", "field", "kept", "source", F.round("posterior", 6).alias("posterior"))
+
+
+def p6_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One surviving record of each registry key."""
+    orgs = table(spark, sf_dir, "organizations").select("key", "name", "website", "website_source", "email", "contact_checked")
+    return fusion.surviving_records(fusion.fused(fusion.registry_claims(orgs)))
+
+
 PACK = "standard"
 
 
@@ -119,6 +131,8 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_links": p5_links,
     "p6_found": p6_found,
+    "p6_fused": p6_fused,
+    "p6_records": p6_records,
     "p8_packs": p8_packs,
     "p9_mix": p9_mix,
     "p10_found": p10_found,

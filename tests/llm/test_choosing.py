@@ -28,6 +28,40 @@ def test_registry_claims(spark):
     assert got == {"name": "The Acme Stage", "website": "www.new.org", "email": "a@old.org"}
 
 
+def test_surviving_records(spark):
+    rows = [("k", "Acme Stage", "www.acme.org", "mti", "a@acme.org", "2026-01-01"), ("k", "ACME", "www.acme.org", "trw", "", "2026-02-01"), ("n", "", "", "", "", "")]
+    df = spark.createDataFrame(rows, "key string, name string, website string, website_source string, email string, contact_checked string")
+    got = [tuple(r) for r in fusion.surviving_records(fusion.fused(fusion.registry_claims(df))).collect()]
+    assert got == [("k", "Acme Stage", "www.acme.org", "mti", "a@acme.org")]
+
+
+def test_fused_registry_outvotes_copies(spark):
+    rows = []
+    for i in range(60):
+        truth, wrong = f"www.right{i}.org", f"www.wrong{i}.org"
+        rows += [(f"k{i}", "X", f"www.slip{i}{s}.org" if (i + j) % 7 == 1 else truth, s, "", "2026-01-01") for j, s in enumerate(("mti", "concord", "third"))]
+        rows += [(f"k{i}", "X", truth if i % 4 else wrong, s, "", "2026-03-01") for s in ("trw", "copy1", "copy2")]
+    df = spark.createDataFrame(rows, "key string, name string, website string, website_source string, email string, contact_checked string")
+    kept = {r.key: r for r in fusion.fused(fusion.registry_claims(df, by_rule=False)).filter("field = 'website'").collect()}
+    right = [i for i in range(60) if f"k{i}" not in kept or kept[f"k{i}"].kept == f"www.right{i}.org"]
+    assert len(right) == 60 and all(0 < r.posterior <= 1 for r in kept.values())
+
+
+def test_null_ids_are_spread_over_shards(spark):
+    df = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), (F.col("id") % 97 + 1).alias("n_tokens"))
+    out = packing.packed(df, 512, shard_items=500)
+    assert out.count() == 3000 and out.agg(F.sum("tokens")).first()[0] == df.agg(F.sum("n_tokens")).first()[0]
+    shards = out.select(F.pmod(F.floor(F.col("pack") / (1 << 32)), F.lit(1 << 28)).alias("s")).distinct().count()
+    assert shards > 3
+
+
+def test_mix_repeated_rows_are_documents_of_their_own(spark):
+    docs = spark.createDataFrame([(None, "a", 10)] * 60 + [(i, "a", 10) for i in range(40)] + [(i, "b", 10) for i in range(50)], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    got = mixing.mixed(docs, targets).collect()
+    assert sum(r.source == "a" for r in got) == 50 and sum(r.source == "b" for r in got) == 50 and all(r.repeats == 1 for r in got)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_best_two_fit(seed):
     rnd = np.random.default_rng(seed)
