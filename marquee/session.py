@@ -72,6 +72,7 @@ def written(df: DataFrame, folder: str, name: str, *partition: str, measured: bo
         writer = writer.partitionBy(*partition)
     writer.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.path = path
     if measured:
         table.measured = seen.get["size"] or 0
         table.counted = seen.get["rows"] or 0
