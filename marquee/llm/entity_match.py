@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import state_code, strip
 from ..operators.components import connected_components
-from ..session import apart, small, work_dir, written
+from ..session import apart, drop_written, small, work_dir, written
 from . import canon, names
 from .udfs import batch_udf
 
@@ -133,20 +133,23 @@ def cascade(rows: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, sourc
     """
     known = written(records(rows), folder, "records")
     nodes = known.drop("key", "known_as").dropDuplicates(["node"]).withColumn("near", _near("core", "place")).select("*", "near.*").drop("near", "core")
+    nodes = written(nodes, folder, "nodes")
     code = F.array_position(F.array(*map(F.lit, sources)), F.col("source")).cast("int")
     others = F.filter(F.array(*(F.lit(i + 1) for i in range(len(sources)))), lambda x: x != F.col("code"))
     by_pair = nodes.withColumn("code", code).filter(F.col("code") > 0).withColumn("partner", F.explode(others)).withColumn(
         "pair", F.least("code", "partner") * len(sources) + F.greatest("code", "partner")).withColumn("low", F.col("code") < F.col("partner"))
-    opened = written(by_pair.select("node", "pair", "low", *(_combinations(rule, i).alias(f"r{i}") for i, rule in enumerate(rules)), F.lit(True).alias("open")), folder, "open")
-    entries = opened.select("node", "low", F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), F.col(f"r{i}").alias("c")) for i in range(len(rules))))).alias("e")).select(
+    # open records are kept slim; a rule fetches the attributes it needs
+    opened = written(by_pair.select("node", "pair", "low", F.lit(True).alias("open")), folder, "open")
+    entries = by_pair.select("low", "node", F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), _combinations(rule, i).alias("c")) for i, rule in enumerate(rules)))).alias("e")).select(
         "node", "low", "e.rule", F.inline("e.c"))
     least = lambda low: F.min(F.when(F.col("low") == low, F.col("node")))
     targets = entries.groupBy("rule", "h", "g").agg(least(True).alias("a"), least(False).alias("b"), F.min("single").alias("s1"), F.max("single").alias("s2")).filter(
         F.col("a").isNotNull() & F.col("b").isNotNull() & F.coalesce(F.col("s1") == F.col("s2"), F.lit(True))).drop("s1", "s2")
     targets = written(targets, folder, "targets", "rule")
     links = []
-    for number in range(len(rules)):
-        side = opened.select("node", "pair", "low", "open", F.inline(f"r{number}")).drop("single")
+    for number, rule in enumerate(rules):
+        needs = nodes.select("node", *{c: None for c in (*rule.on, *([rule.single] if rule.single else []))})
+        side = opened.join(apart(needs), "node").select("node", "pair", "low", "open", F.inline(_combinations(rule, number))).drop("single")
         hits = side.join(apart(targets.filter(F.col("rule") == number).drop("rule")), ["h", "g"])
         sought = hits.filter("open").select("h", "g").distinct()
         met = hits.join(apart(sought), ["h", "g"], "left_semi")
@@ -156,8 +159,9 @@ def cascade(rows: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, sourc
         if number + 1 < len(rules):
             # what is matched goes, but for the nodes that stand for a combination: they stay as targets
             done = matched.groupBy("node", "pair").agg(F.max(F.col("node") == F.col("rep")).alias("stands"))
-            left = opened.drop(f"r{number}").join(apart(done), ["node", "pair"], "left").filter(F.coalesce("stands", F.lit(True)))
-            opened = written(left.withColumn("open", F.col("open") & F.col("stands").isNull()).drop("stands"), folder, "open")
+            left = opened.join(apart(done), ["node", "pair"], "left").filter(F.coalesce("stands", F.lit(True)))
+            before, opened = opened, written(left.withColumn("open", F.col("open") & F.col("stands").isNull()).drop("stands"), folder, "open")
+            drop_written(rows.sparkSession, before.path)
     every = reduce(DataFrame.unionByName, links)
     titles = rows.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "rule int, rule_name string")
     if evidence is None:
