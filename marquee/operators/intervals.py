@@ -9,24 +9,34 @@ from pyspark.sql import functions as F
 TREE_SHIFTS = (6, 12)
 
 
+#: Finished stretches that a merge gathers before it sets them aside.
+PAGE = 128
+
+
 def _linear_merge(runs: Column) -> Column:
-    """Fold a start-sorted array of ``(s, e)`` into disjoint stretches; touching days join."""
+    """Fold a start-sorted array of ``(s, e)`` into disjoint stretches; touching days join.
+
+    Finished stretches gather in a page of bounded size and pages in a list, so that no step copies
+    what is done: the time is linear in the runs.
+    """
     element = "struct<s:int,e:int>"
     start = F.struct(
-        F.expr(f"cast(array() as array<{element}>)").alias("done"),
+        F.expr(f"cast(array() as array<array<{element}>>)").alias("pages"), F.expr(f"cast(array() as array<{element}>)").alias("page"),
         F.expr(f"cast(null as {element})").alias("cur"),
-    )
+    )
 
     def step(acc: Column, x: Column) -> Column:
-        cur = acc["cur"]
+        pages, page, cur = acc["pages"], acc["page"], acc["cur"]
         joined = F.struct(cur["s"].alias("s"), F.greatest(cur["e"], x["e"]).alias("e"))
+        full = F.size(page) >= PAGE
         return (
-            F.when(cur.isNull(), F.struct(acc["done"].alias("done"), x.alias("cur")))
-            .when(x["s"] <= cur["e"] + 1, F.struct(acc["done"].alias("done"), joined.alias("cur")))
-            .otherwise(F.struct(F.concat(acc["done"], F.array(cur)).alias("done"), x.alias("cur")))
+            F.when(cur.isNull(), F.struct(pages.alias("pages"), page.alias("page"), x.alias("cur")))
+            .when(x["s"] <= cur["e"] + 1, F.struct(pages.alias("pages"), page.alias("page"), joined.alias("cur")))
+            .when(full, F.struct(F.concat(pages, F.array(page)).alias("pages"), F.array(cur).alias("page"), x.alias("cur")))
+            .otherwise(F.struct(pages.alias("pages"), F.concat(page, F.array(cur)).alias("page"), x.alias("cur")))
         )
 
-    return F.aggregate(runs, start, step, lambda acc: F.concat(acc["done"], F.array(acc["cur"])))
+    return F.aggregate(runs, start, step, lambda acc: F.flatten(F.concat(acc["pages"], F.array(F.concat(acc["page"], F.array(acc["cur"]))))))
 
 
 def disjoint_stretches(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 
 
-def first_sightings(events: DataFrame, key: str, at: str, late: str = "0 seconds") -> DataFrame:
+def first_sightings(events: DataFrame, key: str, at: str) -> DataFrame:
     """Streaming ``key, first_seen``: the running minimum of ``at`` per key, in update mode.
 
     A key's state is one timestamp. Keys never expire, as a ledger's do not, so no watermark is

@@ -67,3 +67,28 @@ def test_ledgers(spark):
     assert {(r.key, r.first_seen, r.is_new) for r in ledgers.seen_diff(now, seen, today).collect()} == {("a", "2026-01-02", False), ("b", "2026-08-17", True)}
     both = ledgers.upsert(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int"), "k")
     assert {tuple(r) for r in both.collect()} == {("a", 1), ("b", 3), ("c", 4)}
+
+
+def test_joined_url(spark):
+    cases = [("https://a.org/x/y.html", "z.html", "https://a.org/x/z.html"), ("https://a.org/x/y.html", "../z", "https://a.org/z"), ("https://a.org", "about#top", "https://a.org/about"), ("https://a.org/x", "//b.org/c", "https://b.org/c"), ("https://a.org/x", "mailto:a@b.c", ""), ("https://a.org/x/", "./q?r=1", "https://a.org/x/q?r=1"), ("https://a.org/x", "/../y", "https://a.org/y")]
+    df = spark.createDataFrame(cases, "base string, href string, want string")
+    assert df.filter(contacts.joined_url(F.col("base"), F.col("href")) != F.col("want")).count() == 0
+
+
+def test_pages_become_contacts(spark):
+    pages = [
+        ("https://a.org", "<a href='/contact'>Contact</a><a href='/about'>About</a> (919) 555-0100", 200), ("https://a.org/contact", "<a href='mailto:zed@a.org'>x</a> info@a.org", 200), ("https://a.org/about", "staff@a.org", 200),
+        ("https://b.org", "nothing", 200), ("https://c.org", "x@c.org", 500), ("https://e.org", "<script type=\"application/ld+json\">[{\"a\": {\"email\": \"mailto:ld@e.org\", \"telephone\": \"1 2\"}}]</script> zed@e.org (919) 555-0101", 200),
+    ]
+    orgs = [("a", "A", "T", "TX", "https://a.org"), ("b", "B", "T", "TX", "https://b.org"), ("c", "C", "T", "TX", "https://c.org"), ("d", "D", "T", "TX", ""), ("e", "E", "T", "TX", "https://e.org"), ("m", "M", "T", "TX", ""), ("f", "F", "T", "TX", "https://f.org")]
+    kept = [("m", "hand@m.org", "", "", "", "found", "", "https://m.org", "M", "T", "TX", True), ("f", "old@f.org", "", "", "", "found", "2026-01-01", "", "F", "T", "TX", False), ("gone", "g@g.org", "", "", "", "found", "", "", "", "", "", False)]
+    cache = spark.createDataFrame(kept, "org_key string, email string, phone string, facebook string, instagram string, status string, checked string, website string, name string, city string, state string, manual boolean")
+    df = spark.createDataFrame(orgs, "org_key string, name string, city string, state string, website string")
+    merged, reached = contacts.merged_contacts(df, cache, spark.createDataFrame(pages, "url string, html string, status int"), date(2026, 8, 1))
+    got = {r.org_key: r for r in merged.collect()}
+    assert {k: (r.email, r.status) for k, r in got.items()} == {
+        "a": ("info@a.org", "found"), "b": ("", "not_found"), "c": ("", "error"), "d": ("", "no_website"), "e": ("ld@e.org", "found"), "m": ("hand@m.org", "found"), "f": ("old@f.org", "found"), "gone": ("g@g.org", "found")}
+    assert got["a"].phone == "(919) 555-0100" and got["e"].phone == "1 2" and got["a"].checked == "2026-08-01"
+    assert {r.org_key: r.website for r in reached.collect()}["m"] == "https://m.org"
+    stats = contacts.contact_statistics(reached).first()
+    assert (stats.orgs_seen, stats.cache_hits, stats.manual_hits, stats.orgs_fetched, stats.with_contact) == (7, 2, 1, 4, 4)
