@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, text, web
 from ..functions.geo import cell, coarse_country
 from ..operators import contacts, ledgers, registry, resolver
+from ..sinks import sheets
 from ..sources import catalogues
 from ..streaming import first_seen
 from .data_queries import BOX, table
@@ -28,6 +29,12 @@ def productions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "productions")
 
 
+def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Productions with state and country as resolved: keys of organizations are made of these."""
+    p = productions(spark, sf_dir)
+    return resolver.resolved(p, p.filter(F.col("source") == "mti")).withColumn("state", F.col("geo_state")).withColumn("country", F.col("geo_country")).select(*p.columns)
+
+
 def scope_filter(spark, sf_dir):
     p = productions(spark, sf_dir)
     return p.filter(F.col("country").isin("US", "CA") & (F.col("end_date").isNull() | (F.col("end_date") >= F.lit(TODAY)))).select("seq", "country", _day("end_date").alias("end_date"))
@@ -76,7 +83,7 @@ def box_quadrants(spark, sf_dir):
 
 
 def org_registry(spark, sf_dir):
-    return registry.collapse(productions(spark, sf_dir))
+    return registry.collapse(placed(spark, sf_dir))
 
 
 def org_sites(spark, sf_dir):
@@ -85,7 +92,7 @@ def org_sites(spark, sf_dir):
 
 def site_writeback(spark, sf_dir):
     orgs = registry.share_by_address(org_registry(spark, sf_dir))
-    return registry.with_registry_site(productions(spark, sf_dir), orgs).select("seq", "org_key", "org_website")
+    return registry.with_registry_site(placed(spark, sf_dir), orgs).select("seq", "org_key", "org_website")
 
 
 def org_coverage(spark, sf_dir):
@@ -93,7 +100,7 @@ def org_coverage(spark, sf_dir):
 
 
 def org_sample(spark, sf_dir):
-    return registry.sampled(productions(spark, sf_dir), 50)
+    return registry.sampled(placed(spark, sf_dir), 50)
 
 
 def geo_resolved(spark, sf_dir):
@@ -183,22 +190,43 @@ def link_merge(spark, sf_dir):
 
 
 def link_lookup(spark, sf_dir):
-    links = table(spark, sf_dir, "sample_links").filter((F.col("show_title") != "") & (F.col("sample_url") != "")).groupBy(text.title_form(F.col("show_title")).alias("title_form")).agg(F.max("sample_url").alias("sample_url"))
+    """Each production's sample link by title; of two links of one title the later row holds. Rows are numbered by their place in the table."""
+    links = table(spark, sf_dir, "sample_links").withColumn("row", F.monotonically_increasing_id()).filter((F.col("show_title") != "") & (F.col("sample_url") != ""))
+    last = links.groupBy(text.title_form(F.col("show_title")).alias("title_form")).agg(F.max_by("sample_url", "row").alias("sample_url"))
     p = productions(spark, sf_dir).select("seq", text.title_form(F.col("show_title")).alias("title_form"))
-    return p.join(links, "title_form").select("seq", "sample_url")
+    return p.join(last, "title_form", "left").select("seq", F.coalesce("sample_url", F.lit("")).alias("sample_url"))
+
+
+def _reached(spark, sf_dir):
+    """Organizations with sites shared by address and the latest contact that the registry rows of their key hold."""
+    orgs = registry.share_by_address(org_registry(spark, sf_dir))
+    kept = table(spark, sf_dir, "organizations").select(F.col("key").alias("org_key"), "email", "phone", "facebook", "instagram", "contact_status", "contact_checked", "row_id")
+    return orgs.join(ledgers.last_per_key(kept, ["org_key"], "row_id").drop("row_id"), "org_key", "left").na.fill("", ["email", "phone", "facebook", "instagram", "contact_status", "contact_checked"])
 
 
 def production_sheet(spark, sf_dir):
-    p, c = productions(spark, sf_dir), F.col
-    names = org_registry(spark, sf_dir).select("org_key", F.col("name").alias("_name"))
-    return registry.with_org_key(p).join(names, "org_key", "left").select(
-        "seq", c("show_title").alias("show"), F.when(c("venue") != "", c("venue")).otherwise(c("organization")).alias("venue"), F.coalesce("_name", "organization").alias("organization"),
-        _day("start_date").alias("start"), _day("end_date").alias("end"), F.upper("source").alias("source"), "first_seen",
-    )
+    return sheets.production_sheet(placed(spark, sf_dir), _reached(spark, sf_dir))
 
 
 def organization_sheet(spark, sf_dir):
-    return org_registry(spark, sf_dir).select(F.col("name").alias("organization"), "city", "state", "production_count", F.array_join(F.transform(F.split("sources", ","), F.upper), ", ").alias("licensors"))
+    return sheets.organization_sheet(_reached(spark, sf_dir))
+
+
+def contact_sheet(spark, sf_dir):
+    o = table(spark, sf_dir, "organizations").select(F.col("key").alias("org_key"), "name", "city", "state", "website", "email", "phone", "facebook", "instagram", F.col("contact_status").alias("status"), F.col("contact_checked").alias("checked"), F.lit(False).alias("manual"), F.col("row_id"))
+    return sheets.contact_sheet(ledgers.last_per_key(o, ["org_key"], "row_id").drop("row_id"))
+
+
+def next_shows(spark, sf_dir):
+    """Each organization's next show that is no licence window."""
+    return ledgers.next_per_key(registry.with_org_key(placed(spark, sf_dir)), "org_key", TODAY).select("org_key", F.col("key"), _day("start_date").alias("start_date"))
+
+
+def shared_mailboxes(spark, sf_dir):
+    """Of the organizations that share a mailbox and have a next show, the one whose show is soonest."""
+    nexts = next_shows(spark, sf_dir)
+    boxes = _reached(spark, sf_dir).select("org_key", web.email_normal(F.col("email")).alias("address"), "first_seq").filter(web.email_rejection(F.col("address")) == "")
+    return ledgers.winner_per_key(nexts.join(boxes, "org_key"), "address", ["start_date", "first_seq"]).select("address", "org_key", "start_date")
 
 
 def digest_top(spark, sf_dir):
@@ -252,7 +280,7 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 QUERIES = {f.__name__: f for f in (
     scope_filter, run_kinds, name_forms, address_lines, listing_productions, union_floors, required_organization, box_scan, box_quadrants, org_registry, org_sites, site_writeback, org_coverage, org_sample,
     geo_resolved, geo_methods, geo_cells, first_rows, last_rows, distinct_runs, seen_news, new_by_source, ledger_upsert, contact_freshness, contact_disposition, email_checks, site_checks, phone_forms, document_contacts,
-    title_counts, link_merge, link_lookup, production_sheet, organization_sheet, digest_top, run_log, summary_sets, similar_fields, event_props, stream_first_seen,
+    title_counts, link_merge, link_lookup, production_sheet, organization_sheet, contact_sheet, next_shows, shared_mailboxes, digest_top, run_log, summary_sets, similar_fields, event_props, stream_first_seen,
 )}
 from .listing_sql import SQL  # noqa: E402
 

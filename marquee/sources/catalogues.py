@@ -87,11 +87,16 @@ def page_title(html: Column, url: Column) -> Column:
     """Title of a page up to its site suffix; else the last part of its address, capitalised."""
     found = F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
     named = F.trim(F.regexp_replace(found, r"\s+[|–-]\s+[^|–-]*$", ""))
-    return F.when(named != "", named).otherwise(F.initcap(F.replace(F.regexp_extract(url, r"([^/]+)/?$", 1), F.lit("-"), F.lit(" "))))
+    # a capital after everything that is no letter
+    words = F.lower(F.replace(F.regexp_extract(url, r"([^/]+)/*$", 1), F.lit("-"), F.lit(" ")))
+    raised = F.transform(F.regexp_extract_all(words, F.lit(r"[^\p{L}]*\p{L}*"), 0), lambda w: F.concat(F.regexp_extract(w, r"^([^\p{L}]*)", 1), F.upper(F.regexp_extract(w, r"(\p{L})", 1)), F.regexp_extract(w, r"\p{L}(\p{L}*)$", 1)))
+    return F.when(named != "", named).otherwise(F.array_join(raised, ""))
 
 
-#: A run on a show page; groups: first day, last day, organization, place.
-RUN_BLOCK = r"(?s)<div class=\"run\">\s*<span class=\"from\">([^<]*)</span>\s*<span class=\"to\">([^<]*)</span>\s*<h3>([^<]*)</h3>\s*<p>([^<]*)</p>\s*</div>"
+# A run on a show page; groups: first day, last day, organization, place.
+RUN_BLOCK = r"(?s)date-display-start\"\s*>\s*([^<]*?)\s*</span>\s*&ndash;\s*<span class=\"date-display-end\"\s*>\s*([^<]*?)\s*</span>\s*<h5>\s*(.*?)\s*<br\s*/?>\s*(.*?)\s*</h5>"
+#: Runs that a page's feed positions leave room for; beyond it a page is refused rather than mixed up with the next.
+PAGE_RUNS = 1 << 20
 
 
 def show_pages(pages: DataFrame, block: str = RUN_BLOCK) -> DataFrame:
@@ -106,19 +111,20 @@ def show_pages(pages: DataFrame, block: str = RUN_BLOCK) -> DataFrame:
     part = F.when(a > 0, F.when(b > 0, F.substring(rest, F.lit(1), b - 1)).otherwise(rest)).otherwise("")
     group = lambda i: F.regexp_extract_all("part", F.lit(block), F.lit(i)).alias(f"g{i}")
     runs = pages.withColumn("part", part).select("page_id", "url", page_title(F.col("html"), F.col("url")).alias("title"), F.posexplode(F.arrays_zip(*(group(i) for i in (1, 2, 3, 4)))).alias("at", "z"))
-    place = strip(F.col("z.g4"))
+    flat = lambda c: strip(F.regexp_replace(c, r"\s+", " "))
+    place = flat(F.col("z.g4"))
     has = F.instr(place, ",") > 0
     runs = runs.select(
-        "page_id", "url", "title", "at", strip(F.col("z.g3")).alias("organization"), F.when(has, strip(F.regexp_extract(place, r"^(.*),[^,]*$", 1))).otherwise(place).alias("city"),
+        "page_id", "url", "title", "at", flat(F.col("z.g3")).alias("organization"), F.when(has, strip(F.regexp_extract(place, r"^(.*),[^,]*$", 1))).otherwise(place).alias("city"),
         F.when(has, state_code(F.substring_index(place, ",", -1))).otherwise("").alias("state"), open_range(F.col("z.g1"), F.col("z.g2")).alias("d"),
     ).filter(F.col("organization") != "").select("*", F.col("d.start").alias("start_date"), F.col("d.end").alias("end_date"))
     once = runs.groupBy("page_id", "url", "title", "organization", "city", "state", "start_date", "end_date").agg(F.min("at").alias("at"))
     day = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit(""))
     blank = lambda c: F.lit("").alias(c)
     return once.select(
-        content_key(F.lit("trw"), F.col("title"), F.col("organization"), F.col("city"), F.col("state"), day("start_date"), day("end_date")).alias("key"), F.lit("trw").alias("source"), F.col("title").alias("show_title"), "organization",
-        blank("venue"), blank("venue_type"), blank("street"), "city", "state", blank("postal"), country_of_state(F.col("state")).alias("country"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
-        "start_date", "end_date", F.col("url").alias("source_url"), blank("org_website"), _seq("trw", F.col("page_id").cast("long") * 1024 + F.col("at")).alias("seq"),
+        content_key(F.lit("trw"), F.regexp_extract("url", r"([^/]+)/*$", 1), F.col("organization"), F.col("city"), F.col("state"), day("start_date"), day("end_date")).alias("key"), F.lit("trw").alias("source"), F.col("title").alias("show_title"), "organization",
+        F.col("organization").alias("venue"), blank("venue_type"), blank("street"), "city", "state", blank("postal"), country_of_state(F.col("state")).alias("country"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
+        "start_date", "end_date", F.col("url").alias("source_url"), blank("org_website"), _seq("trw", F.col("page_id").cast("long") * PAGE_RUNS + F.when(F.col("at") < PAGE_RUNS, F.col("at")).otherwise(F.raise_error(F.lit("a page with more runs than feed positions")))).alias("seq"),
     ).select(*PRODUCTION_COLUMNS)
 
 
@@ -136,6 +142,13 @@ def floor_check(productions: DataFrame, floors: dict[str, int] = LEAST_ROWS) ->
     return wanted.join(have, "source", "left").select("source", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "least", (F.coalesce("rows", F.lit(0)) >= F.col("least")).alias("ok"))
 
 
+def refused_below_floor(productions: DataFrame, floors: dict[str, int] = LEAST_ROWS) -> DataFrame:
+    """``productions``; reading it raises where a source has fewer rows than its floor."""
+    broken = floor_check(productions, floors).filter(~F.col("ok")).agg(F.concat_ws(", ", F.array_sort(F.collect_list("source"))).alias("_broken"))
+    checked = broken.select(F.when(F.col("_broken") != "", F.raise_error(F.concat(F.lit("feeds under their floor: "), "_broken"))).otherwise(F.lit(True)).alias("_sound"))
+    return productions.join(F.broadcast(checked)).filter("_sound").drop("_sound")  # one row
+
+
 def quadrants(box: dict[str, float]) -> list[dict[str, float]]:
     """The four quarters of a box, south-west first."""
     y, x = (box["south"] + box["north"]) / 2, (box["west"] + box["east"]) / 2
