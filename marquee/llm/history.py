@@ -21,7 +21,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions.text import strip
 from ..operators.components import connected_components
-from ..session import BROADCAST_LIMIT, FAN, ROW_BYTES, Ledger, apart, drop_written, small, work_dir, written
+from ..session import BROADCAST_LIMIT, ROW_BYTES, Ledger, apart, drop_written, small, work_dir, written
 from . import canon, names
 from .udfs import batch_udf
 
@@ -288,8 +288,9 @@ class HistoryIndex:
         self.ledger.append(added.observe(seen, F.count_if(F.col("kind") == "moved").alias("moved")))
         self.moved += seen.get["moved"] or 0
         drop_written(self.spark, folder)
-        if self.batches % FAN == 0:  # shuffle files and broadcasts of batches done go only when the driver collects its garbage
-            self.spark.sparkContext._jvm.System.gc()
+        # plans, broadcasts and shuffle files of a batch done go only when the driver collects its garbage; left to
+        # itself its heap grows to the limit first
+        self.spark.sparkContext._jvm.System.gc()
 
     def duplicates(self) -> DataFrame:
         """``seq_a, seq_b``: each row that tells a known production, with its first row."""
