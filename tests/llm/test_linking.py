@@ -132,3 +132,25 @@ def test_addresses_misspelt_place(spark):
     right = [("1", "471 Branabkil Avenue", "Darurridge", "30", "-100"), ("2", "20 Larandhol St", "Goraywick", None, None), ("3", "5 High St", "Darurridgge", "40", "-90"), ("4", "9 Low Street", "Darurridge", None, None)]
     got = {(r.id_l, r.id_r) for r in addresses.match_addresses(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()}
     assert got == {("a", "1"), ("b", "2")}
+
+
+def test_history_goes_on_in_a_new_index(spark):
+    day, d = datetime(2026, 7, 1, 5), lambda n: date(2026, 9, n)
+    schema = "seq long, key string, source string, show_title string, organization string, venue string, street string, city string, start_date date, end_date date, loaded_at timestamp"
+    telling = lambda n, key, start: (n, key, "mti", "Grand Show", "Sample Players", "Hall", "1 Low St", "Exampleton", d(start), d(start + 4), day)
+    weights = {f: {"same": 3.0, "near": 2.0, "differ": -4.0, "absent": 0.0} for f in history.FIELDS}
+    batch = lambda *rows: history.prepared(history.compared(spark.createDataFrame(list(rows), schema)).withColumn("likelier", F.array().cast("array<string>")))
+    folder = work_dir(spark)
+    first = history.HistoryIndex(spark, folder, weights)
+    first.accept(batch(telling(10, "mti:1", 1), telling(20, "mti:2", 5)))
+    first.accept(batch(telling(30, "mti:1", 20)).limit(0))
+    assert first.duplicates().count() == 0
+    second = history.HistoryIndex(spark, folder, weights)
+    # 30 repeats a key and, by its run, lies near both; 5 comes late with a smaller number: all become its cluster
+    second.accept(batch(telling(30, "mti:1", 3)))
+    assert {(r.seq_a, r.seq_b) for r in second.duplicates().collect()} == {(10, 30), (10, 20)}
+    second.accept(batch(telling(5, "mti:2", 5)))
+    assert {(r.seq_a, r.seq_b) for r in second.duplicates().collect()} == {(5, 10), (5, 20), (5, 30)}
+    third = history.HistoryIndex(spark, folder, weights)
+    third.accept(batch(telling(40, "mti:1", 1)))
+    assert {(r.seq_a, r.seq_b) for r in third.duplicates().collect()} == {(5, 10), (5, 20), (5, 30), (5, 40)}
