@@ -80,14 +80,15 @@ def _probed(t: Column, m: Column, most: int) -> list[tuple[Column, Column, int,
 
 
 def segment_join(rows: DataFrame, id: str, text: str, block: list[str], folder: str | None = None, *, most: int = 2) -> DataFrame:
-    """``a, b`` with ``a < b``: ids of rows of one block whose texts are within their allowed edits.
+    """``a, b`` with ``a < b``: smallest ids of the distinct texts of one block that are within their allowed edits.
 
     A text is cut into ``k + 1`` segments, so that ``k`` edits leave one of them whole; swapped
     neighbours count as one edit, and for a swap across a cut the index also holds the segments as
     the swap makes them. Entries are hashes of block, length of the indexed text, segment number and
     letters; only they and the ids of texts are joined, and the texts are fetched for distinct
     candidates, where the banded edit distance decides. Equal texts share one entry, so a block full
-    of copies does not meet itself.
+    of copies does not meet itself: pairs of the other rows are not told, so where rows of one text differ in
+    what is asked of a pair next, give them one id and fetch the rows by it.
     Null or blank texts match nothing; null block columns match nothing.
     """
     folder = folder or work_dir(rows.sparkSession)
@@ -161,7 +162,7 @@ def linked_organizations(
     (segment join over the distinguishing words), places within their edits under one name
     (segment join over the place), an initial for a given name, and an acronym of which just one
     organization of the building, or else of the place, has the letters. A given name must agree or be missing on one
-    side. Spellings are distinct first, so copies cost nothing; linked ones are merged by
+    side; each pair of spellings is asked for it. Spellings are distinct first, so copies cost nothing; linked ones are merged by
     connected components and a key follows its spellings.
     """
     folder = work_dir(orgs.sparkSession)
@@ -171,21 +172,21 @@ def linked_organizations(
     slim = spellings.filter(F.col("acronym") == "").withColumn("subject", subject).select(
         "spelling", "given", "state", "place", "kind", "subject", F.xxhash64("state", "place", "kind", "subject").alias("group"))
     slim = written(slim, folder, "named")
-    agree = lambda l, r: (F.col(l) == F.col(r)) | (F.col(l) == "") | (F.col(r) == "") | (
-        ((F.length(l) == 1) | (F.length(r) == 1)) & (F.left(F.col(l), F.lit(1)) == F.left(F.col(r), F.lit(1))))
-
-    # both segment joins are one: names in blocks of place and kind, places in blocks of name and kind
+    # both segment joins are one: names in blocks of place and kind, places in blocks of name and kind. Its rows are groups
+    # of equal names, since the given names of all spellings of two groups are compared, not those of one of each
     entry = lambda mark, text, *by: F.struct(F.xxhash64(F.lit(mark), "state", "kind", *by).alias("block"), F.col(text).alias("text"))
-    near = segment_join(slim.select("spelling", F.inline(F.array(entry("name", "subject", "place"), entry("place", "place", "subject")))), "spelling", "text", ["block"], folder)
-    givens = slim.select("spelling", "given")
-    checked = near.join(apart(givens.select(F.col("spelling").alias("a"), F.col("given").alias("ga"))), "a").join(
-        apart(givens.select(F.col("spelling").alias("b"), F.col("given").alias("gb"))), "b").filter(agree("ga", "gb")).select("a", "b")
-    # equal names: each spelling is linked to the group's first unless their given names contradict, and to the first of its given name
-    first = slim.groupBy("group").agg(F.min("spelling").alias("a"), F.min_by("given", "spelling").alias("ga"))
-    equal = slim.join(apart(first), "group").filter((F.col("spelling") != F.col("a")) & agree("given", "ga")).select("a", F.col("spelling").alias("b"))
-    named = slim.groupBy("group", "given").agg(F.min("spelling").alias("a"))
-    alike = slim.join(apart(named), ["group", "given"]).filter(F.col("spelling") != F.col("a")).select("a", F.col("spelling").alias("b"))
-    groups = connected_components(checked.unionByName(equal).unionByName(alike), folder)
+    near = segment_join(slim.select("group", F.inline(F.array(entry("name", "subject", "place"), entry("place", "place", "subject")))), "group", "text", ["block"], folder)
+    # a spelling is found under its given name, its initial and any; a blank one asks for any, an initial for all that
+    # begin with it, another for its equals: every pair that agrees meets in one of two directions, by an exact join
+    given, meets = F.col("given"), lambda group, form: F.xxhash64(group, form).alias("meets")
+    form = F.when(given == "", "*").when(F.length(given) == 1, F.concat(F.lit("^"), given)).otherwise(F.concat(F.lit("="), given))
+    forms = F.array_distinct(F.array(F.lit("*"), F.concat(F.lit("^"), F.left(given, F.lit(1))), F.concat(F.lit("="), given)))
+    asks = slim.select("group", form.alias("form"), F.col("spelling").alias("a"))
+    found = slim.select("group", F.explode(forms).alias("form"), F.col("spelling").alias("b")).select(meets("group", "form"), "b")
+    both = near.select(F.inline(F.array(F.struct(F.col("a").alias("group"), F.col("b").alias("other")), F.struct(F.col("b").alias("group"), F.col("a").alias("other")))))
+    asked = asks.select(meets("group", "form"), "a").unionByName(asks.join(apart(both), "group").select(meets("other", "form"), "a"))
+    agreed = asked.join(apart(found), "meets").filter(F.col("a") != F.col("b")).select("a", "b")
+    groups = connected_components(agreed, folder)
     known = written(spellings.select("spelling").join(small(groups), F.col("spelling") == groups["node"], "left").select(
         "spelling", F.coalesce("component", "spelling").alias("organization")), folder, "groups", measured=True)
 

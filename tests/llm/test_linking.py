@@ -39,6 +39,17 @@ def test_names(spark):
     assert names.linked_organizations(orgs.limit(0)).count() == 0
 
 
+def test_names_near_under_several_given_names(spark):
+    """Each given name is met under both spellings of the other words, and each initial meets its own name."""
+    given = ["Robert", "Susan", "William"]
+    spelled = [(g, f"{g} {n} School of Dance", "Exampleton") for g in given for n in ("Samplewright", "Samplwright")]
+    lettered = [(g, f"{w} Tradeshaw School of Dance", "Exampleton") for g in given for w in (g, g[0] + ".")]
+    placed = [(g, f"{g} Grandmoor School of Dance", c) for g in given for c in ("Exampleton", "Exampelton")]
+    rows = [(f"{g}-{i}", name, city, "TX", "") for i, (g, name, city) in enumerate(spelled + lettered + placed)]
+    got = {(r.key_a, r.key_b) for r in names.same_organization_pairs(names.linked_organizations(spark.createDataFrame(rows, "key string, name string, city string, state string, street string"))).collect()}
+    assert got == {tuple(sorted((rows[i][0], rows[i + 1][0]))) for i in range(0, len(rows), 2)}
+
+
 def test_addresses(spark):
     schema = "id string, address string, city string, lat string, lng string, form string"
     left = [
