@@ -94,19 +94,44 @@ def records(rows: DataFrame) -> DataFrame:
 
 
 def _combinations(rule: Rule, number: int) -> Column:
-    """Array of ``h, g, single``: two hashes of each combination of the rule's attributes that a row has, for its ``pair``."""
-    single = F.xxhash64(rule.single) if rule.single else F.lit(0).cast("long")
-    single = F.when(F.col(rule.single).isNotNull(), single) if rule.single else single
+    """Array of ``h, g``: two hashes of each combination of the rule's attributes that a row has."""
     near = next((c for c in rule.on if c.startswith("near_")), None)
     plain = [c for c in rule.on if c != near]
 
     def of(*form: Column) -> Column:
         by = [*plain, *form]
-        return F.struct(F.xxhash64(F.lit(number), "pair", *by).alias("h"), F.xxhash64(*by, "pair", F.lit(number)).alias("g"), single.alias("single"))
+        return F.struct(F.xxhash64(F.lit(number), *by).alias("h"), F.xxhash64(*by, F.lit(number)).alias("g"))
 
     found = F.transform(near, lambda form: of(form)) if near else F.array(of())
     whole = reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in plain))
-    return F.when(whole, found).otherwise(F.array().cast("array<struct<h:bigint,g:bigint,single:bigint>>"))
+    return F.when(whole, found).otherwise(F.array().cast("array<struct<h:bigint,g:bigint>>"))
+
+
+def _pairs(sources: tuple[str, ...]) -> list[tuple[int, int, int]]:
+    """Number, lower and higher code of each pair of sources; codes begin with 1."""
+    return [(i * (len(sources) + 1) + j, i, j) for j in range(1, len(sources) + 1) for i in range(1, j)]
+
+
+def _targets(nodes: DataFrame, rule: Rule, number: int, sources: tuple[str, ...]) -> DataFrame:
+    """``h, g, pair, lower, a, b``: the combinations that both sources of a pair hold, with the smallest node of either.
+
+    A combination is aggregated once for all sources, which combines map-side; where the rule asks for a single value,
+    a pair with several in its two sources is left out.
+    """
+    single = [F.when(F.col(rule.single).isNotNull(), F.xxhash64(rule.single)).alias("single")] if rule.single else []
+    held = nodes.select("code", "node", *single, F.inline(_combinations(rule, number)))
+    of = lambda f, c, i: f(F.when(F.col("code") == i, F.col(c))).alias(f"{f.__name__}_{c}_{i}")
+    codes = range(1, len(sources) + 1)
+    sums = held.groupBy("h", "g").agg(*(of(F.min, "node", i) for i in codes), *(of(f, "single", i) for i in codes for f in (F.min, F.max) if single))
+
+    def told(pair: int, i: int, j: int) -> Column:
+        a, b = F.col(f"min_node_{i}"), F.col(f"min_node_{j}")
+        both = a.isNotNull() & b.isNotNull()
+        if single:
+            both = both & F.coalesce(F.least(f"min_single_{i}", f"min_single_{j}") == F.greatest(f"max_single_{i}", f"max_single_{j}"), F.lit(True))
+        return F.when(both, F.struct(F.lit(pair).alias("pair"), F.lit(i).alias("lower"), a.alias("a"), b.alias("b")))
+
+    return sums.select("h", "g", F.inline(F.array_compact(F.array(*(told(*p) for p in _pairs(sources))))))
 
 
 def labelled(links: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -124,44 +149,48 @@ def cascade(rows: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, sourc
 
     Links are ``node, pair, rep, other, rule``: under rule number ``rule`` the node, open till then in
     the pair of sources or standing for what was matched, met a combination that both sources hold, which ``rep``, its smallest node of
-    either source, stands for; ``other`` is the one of the other source. Combinations of all rules are
-    hashed and aggregated once, which combines map-side; so a combination of a million records gives
-    a million links, not their square. A rule then reads its own combinations, the records still open
+    either source, stands for; ``other`` is the one of the other source. A rule hashes its combinations once for
+    each node, not for each of its pairs, and aggregates them, which combines map-side; so a combination of a million records gives
+    a million links, not their square. What it joins with these are the records still open
     and those that stand for a combination matched before; what it matches is anti-joined from these,
     but for the one record of each source that stands for the combination from now on. So another
     spelling still finds the ones matched before it, and a combination without an open record is not taken up.
+    Rules are worked off one by one, so that only one rule's combinations are on disk at a time.
     """
     known = written(records(rows), folder, "records")
-    nodes = known.drop("key", "known_as").dropDuplicates(["node"]).withColumn("near", _near("core", "place")).select("*", "near.*").drop("near", "core")
-    nodes = written(nodes, folder, "nodes")
     code = F.array_position(F.array(*map(F.lit, sources)), F.col("source")).cast("int")
-    others = F.filter(F.array(*(F.lit(i + 1) for i in range(len(sources)))), lambda x: x != F.col("code"))
-    by_pair = nodes.withColumn("code", code).filter(F.col("code") > 0).withColumn("partner", F.explode(others)).withColumn(
-        "pair", F.least("code", "partner") * len(sources) + F.greatest("code", "partner")).withColumn("low", F.col("code") < F.col("partner"))
-    # open records are kept slim; a rule fetches the attributes it needs
-    opened = written(by_pair.select("node", "pair", "low", F.lit(True).alias("open")), folder, "open")
-    entries = by_pair.select("low", "node", F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), _combinations(rule, i).alias("c")) for i, rule in enumerate(rules)))).alias("e")).select(
-        "node", "low", "e.rule", F.inline("e.c"))
-    least = lambda low: F.min(F.when(F.col("low") == low, F.col("node")))
-    targets = entries.groupBy("rule", "h", "g").agg(least(True).alias("a"), least(False).alias("b"), F.min("single").alias("s1"), F.max("single").alias("s2")).filter(
-        F.col("a").isNotNull() & F.col("b").isNotNull() & F.coalesce(F.col("s1") == F.col("s2"), F.lit(True))).drop("s1", "s2")
-    targets = written(targets, folder, "targets", "rule")
+    nodes = known.drop("key", "known_as").dropDuplicates(["node"]).withColumn("code", code).filter(F.col("code") > 0).withColumn("near", _near("core", "place")).select("*", "near.*").drop("near", "core", "source")
+    nodes = written(nodes, folder, "nodes")
+    # open records are kept slim: ``present`` has the pairs in which a node is open or stands, ``open`` those in which it is open
+    pairs = F.array(*(F.struct(*(F.lit(x).alias(c) for x, c in zip(p, ("pair", "i", "j")))) for p in _pairs(sources)))
+    own = F.transform(F.filter(pairs, lambda p: (p["i"] == F.col("code")) | (p["j"] == F.col("code"))), lambda p: p["pair"])
+    opened = nodes.select("node", own.alias("present"), own.alias("open"))
     links = []
     for number, rule in enumerate(rules):
-        needs = nodes.select("node", *{c: None for c in (*rule.on, *([rule.single] if rule.single else []))})
-        side = opened.join(apart(needs), "node").select("node", "pair", "low", "open", F.inline(_combinations(rule, number))).drop("single")
-        hits = side.join(apart(targets.filter(F.col("rule") == number).drop("rule")), ["h", "g"])
-        sought = hits.filter("open").select("h", "g").distinct()
-        met = hits.join(apart(sought), ["h", "g"], "left_semi")
+        needs = nodes.select("node", "code", *{c: None for c in (*rule.on, *([rule.single] if rule.single else []))})
+        # before the first rule all records are open, so nothing is joined
+        side = (opened.join(apart(needs), "node") if links else needs.withColumns({"present": own, "open": own})).select("node", "code", "present", "open", F.inline(_combinations(rule, number)))
+        hits = side.join(apart(_targets(needs, rule, number, sources)), ["h", "g"]).filter(F.array_contains("present", F.col("pair"))).select(
+            "h", "g", "pair", "node", "a", "b", (F.col("code") == F.col("lower")).alias("low"), F.array_contains("open", F.col("pair")).alias("open"))
+        hits = written(hits, folder, "hits")
+        sought = hits.filter("open").select("h", "g", "pair").distinct()
+        met = hits.join(apart(sought), ["h", "g", "pair"], "left_semi")
         matched = written(met.select("node", "pair", F.explode(F.array("a", "b")).alias("rep"), F.when(F.col("low"), F.col("b")).otherwise(F.col("a")).alias("other")).distinct().withColumn(
             "rule", F.lit(number)), folder, "links")
         links.append(matched)
+        drop_written(rows.sparkSession, hits.path)
         if number + 1 < len(rules):
             # what is matched goes, but for the nodes that stand for a combination: they stay as targets
-            done = matched.groupBy("node", "pair").agg(F.max(F.col("node") == F.col("rep")).alias("stands"))
-            left = opened.join(apart(done), ["node", "pair"], "left").filter(F.coalesce("stands", F.lit(True)))
-            before, opened = opened, written(left.withColumn("open", F.col("open") & F.col("stands").isNull()).drop("stands"), folder, "open")
-            drop_written(rows.sparkSession, before.path)
+            done = matched.groupBy("node").agg(F.collect_set("pair").alias("done"), F.collect_set(F.when(F.col("node") == F.col("rep"), F.col("pair"))).alias("stands"))
+            none = F.array().cast("array<int>")
+            gone = F.array_except(F.coalesce("done", none), F.coalesce("stands", none))
+            left = opened.join(apart(done), "node", "left").select(
+                "node", F.array_except("present", gone).alias("present"), F.array_except("open", F.coalesce("done", none)).alias("open")).filter(F.size("present") > 0)
+            before, opened = opened, written(left, folder, "open")
+            if number:
+                drop_written(rows.sparkSession, before.path)
+        # shuffle files of a rule done go only when the driver collects its garbage
+        rows.sparkSession.sparkContext._jvm.System.gc()
     every = reduce(DataFrame.unionByName, links)
     titles = rows.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "rule int, rule_name string")
     if evidence is None:

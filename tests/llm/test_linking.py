@@ -1,5 +1,6 @@
 import random
 from datetime import date, datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -101,6 +102,19 @@ def test_matched_records_are_anti_joined(spark):
     assert len({r.entity for r in entity_match.matched_records(df, rules).collect()}) == 1
 
 
+def test_cascade_keeps_no_combinations(spark):
+    """Combinations and what met them are gone from the work folder; a pair's single value is asked of its two sources only."""
+    rules = (entity_match.Rule("name, place", ("name", "place"), single="state"), entity_match.Rule("near name, kind, place", ("near_core", "sort", "place"), single="state"))
+    rows = [("m1", "mti", "Sampleton Players", "TX"), ("c1", "concord", "Sampleton Players", "TX"), ("t1", "trw", "Sampleton Players", "ON"), ("c2", "concord", "Samplton Players", "TX")]
+    df = spark.createDataFrame([(k, s, o, "", "Exampleton", st) for k, s, o, st in rows], "key string, source string, organization string, street string, city string, state string")
+    folder = work_dir(spark)
+    known, links, _ = entity_match.cascade(df, folder, rules)
+    met = {(r.key, r.rule) for r in links.join(known, "node").select("key", "rule").distinct().collect()}
+    assert {("m1", 0), ("c1", 0), ("c2", 1)} <= met and "t1" not in {key for key, _ in met}
+    left = {p.name.rsplit("-", 1)[0] for p in Path(folder.removeprefix("file://")).iterdir()}
+    assert left == {"records", "nodes", "open", "links", "measures"}
+
+
 def test_history(spark):
     day = lambda n: datetime(2026, 7, n, 5)
     d = lambda m, n: date(2026, m, n)
