@@ -21,7 +21,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions.text import strip
 from ..operators.components import connected_components
-from ..session import BROADCAST_LIMIT, ROW_BYTES, Ledger, apart, drop_written, small, work_dir, written
+from ..session import BROADCAST_LIMIT, ROW_BYTES, Ledger, apart, drop_written, release_driver_memory, small, work_dir, written
 from . import canon, names
 from .udfs import batch_udf
 
@@ -288,9 +288,7 @@ class HistoryIndex:
         self.ledger.append(added.observe(seen, F.count_if(F.col("kind") == "moved").alias("moved")))
         self.moved += seen.get["moved"] or 0
         drop_written(self.spark, folder)
-        # plans, broadcasts and shuffle files of a batch done go only when the driver collects its garbage; left to
-        # itself its heap grows to the limit first
-        self.spark.sparkContext._jvm.System.gc()
+        release_driver_memory(self.spark)
 
     def duplicates(self) -> DataFrame:
         """``seq_a, seq_b``: each row that tells a known production, with its first row."""
@@ -318,6 +316,7 @@ def linked_batches(rows: DataFrame, *, batch_day: str = "loaded_at") -> DataFram
     weights = learned_weights(told.filter(F.col("day") == F.lit(lowest)))
     staged = written(prepared(ready, "day").repartition("day", F.pmod("seq", F.lit(4))), folder, "staged", "day")
     days = staged.groupBy("day").agg(*Extent.columns()).orderBy("day").collect()
+    release_driver_memory(spark)
     index = HistoryIndex(spark, folder, weights)
     for d in days:
         index.accept(staged.filter(F.col("day") == F.lit(d["day"])).drop("day"), Extent.of(d))

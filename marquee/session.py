@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +86,27 @@ def drop_written(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def release_driver_memory(spark: SparkSession) -> bool:
+    """Let the driver collect its garbage and give free native memory back to the system.
+
+    Plans, broadcasts and shuffle files go only when the driver collects its garbage; left to itself its heap
+    grows to the limit first. What the JVM freed beside the heap (compiler and network buffers of many plans) is kept by
+    the C library unless it is asked to trim; a JVM without that command, or a driver that may not ask, just keeps it (false).
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    jvm.System.gc()
+    try:
+        # the server's own class is closed to callers, its interface is not
+        call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        told = gateway.new_array(jvm.Object, 4)
+        told[0], told[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        told[2], told[3] = gateway.new_array(jvm.Object, 0), gateway.new_array(jvm.String, 0)
+        call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), told)
+    except Py4JError:
+        return False
+    return True
+
+
 def small(df: DataFrame, of: DataFrame | None = None, *, size: int | None = None, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``df`` with a broadcast hint if it is proven to take at most ``limit`` bytes in memory, else with one against it.
 

@@ -47,3 +47,7 @@ def test_work_dir_demands_a_shared_folder(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.work_dir(Cluster)
+
+
+def test_driver_memory_is_given_back(spark):
+    assert session.release_driver_memory(spark)
