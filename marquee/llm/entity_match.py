@@ -13,15 +13,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import state_code, strip
 from ..operators.components import connected_components
 from ..session import apart, drop_written, small, work_dir, written
-from . import canon, names
-from .udfs import batch_udf
+from . import names
 
 
 @dataclass(frozen=True)
@@ -58,12 +56,10 @@ EXTRA = 5.0
 UNLABELLED = 0.8
 #: Letters from which on a name that states no kind may be met by near forms.
 KINDLESS = 8
-
-
-@batch_udf("near_core array<string>, near_place array<string>")
-def _near(core: pd.Series, place: pd.Series) -> pd.DataFrame:
-    lacking = lambda t: sorted(canon.deletions(t)) if t and len(t) >= 5 else []
-    return pd.DataFrame({"near_core": core.map(lacking), "near_place": place.map(lacking)})
+#: Letters from which on a text has near forms.
+NEAR_FROM = 5
+#: Bits that sources, and pairs of them, are told by where combinations are looked through; more of them share bits.
+BITS = 62
 
 
 def records(rows: DataFrame) -> DataFrame:
@@ -93,18 +89,9 @@ def records(rows: DataFrame) -> DataFrame:
     return full.withColumn("node", F.xxhash64("source", *(F.coalesce(F.col(c), F.lit("\x00")) for c in attributes)))
 
 
-def _combinations(rule: Rule, number: int) -> Column:
-    """Array of ``h, g``: two hashes of each combination of the rule's attributes that a row has."""
-    near = next((c for c in rule.on if c.startswith("near_")), None)
-    plain = [c for c in rule.on if c != near]
-
-    def of(*form: Column) -> Column:
-        by = [*plain, *form]
-        return F.struct(F.xxhash64(F.lit(number), *by).alias("h"), F.xxhash64(*by, F.lit(number)).alias("g"))
-
-    found = F.transform(near, lambda form: of(form)) if near else F.array(of())
-    whole = reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in plain))
-    return F.when(whole, found).otherwise(F.array().cast("array<struct<h:bigint,g:bigint>>"))
+def _form(text: Column, at: Column) -> Column:
+    """``text`` without its letter number ``at``; all of it for 0."""
+    return F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + 1, F.length(text)))
 
 
 def _pairs(sources: tuple[str, ...]) -> list[tuple[int, int, int]]:
@@ -112,22 +99,57 @@ def _pairs(sources: tuple[str, ...]) -> list[tuple[int, int, int]]:
     return [(i * (len(sources) + 1) + j, i, j) for j in range(1, len(sources) + 1) for i in range(1, j)]
 
 
-def _targets(nodes: DataFrame, rule: Rule, number: int, sources: tuple[str, ...]) -> DataFrame:
+def _held(nodes: DataFrame, rule: Rule, number: int, sources: tuple[str, ...], done: DataFrame | None, folder: str) -> DataFrame:
+    """``h, g, code, node`` and ``single`` where the rule asks for it: two hashes of each combination that a node has.
+
+    Near forms are looked through by spelling before they are gone into by node: the nodes that share the plain attributes
+    and the spelling have the same forms. Of the combinations of a near rule only those are given, with all their nodes, that two sources
+    hold and a node still open for the two (``done`` has the others), or that may be such; so what is written is little. A combination
+    has at most as many spellings as one letter can be put into its form.
+    """
+    near = next((c for c in rule.on if c.startswith("near_")), None)
+    plain = [c for c in rule.on if c != near]
+    whole = reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in plain))
+    single = [F.when(F.col(rule.single).isNotNull(), F.xxhash64(rule.single)).alias("single")] if rule.single else []
+    own = ["code", "node", *(["single"] if single else [])]
+    h, g = F.xxhash64(F.lit(number), *plain), F.xxhash64(*plain, F.lit(number))
+    if not near:
+        return nodes.filter(whole).select(h.alias("h"), g.alias("g"), "code", "node", *single)
+    text = F.col(near.removeprefix("near_"))
+    spelled = nodes.filter(whole & (F.length(text) >= NEAR_FROM)).select("code", "node", *single, text.alias("text"), h.alias("p"), g.alias("q")).withColumn("spelling", F.xxhash64("p", "q", "text"))
+    bit = lambda n: 1 << n % BITS
+    of = lambda c, bits: reduce(lambda x, y: x.when(c == y[0], F.lit(y[1]).cast("long")), bits.items(), F.when(F.lit(False), F.lit(0).cast("long")))
+    pairs, codes = _pairs(sources), range(1, len(sources) + 1)
+    opened = of(F.col("code"), {c: reduce(lambda x, y: x | y, (bit(n) for n, (_, i, j) in enumerate(pairs) if c in (i, j)), 0) for c in codes})
+    seen = spelled.select("spelling", "p", "text", "node", of(F.col("code"), {c: bit(c) for c in codes}).alias("codes"), opened.alias("open"))
+    if done is not None and len(pairs) <= BITS:  # else a bit may stand for a pair that is still open
+        closed = done.groupBy("node").agg(F.bit_or(of(F.col("pair"), {k: bit(n) for n, (k, _, _) in enumerate(pairs)})).alias("closed"))
+        seen = seen.join(apart(closed), "node", "left").withColumn("open", F.col("open").bitwiseAND(F.bitwise_not(F.coalesce("closed", F.lit(0).cast("long")))))
+    groups = seen.groupBy("spelling", "p", "text").agg(F.bit_or("codes").alias("codes"), F.bit_or("open").alias("open"))
+    form = _form(F.col("text"), F.col("at"))
+    forms = groups.select("*", F.explode(F.sequence(F.lit(0), F.length("text"))).alias("at")).select("spelling", "at", "codes", "open", F.xxhash64("p", form).alias("h"))
+    by = Window.partitionBy("h")
+    forms = forms.withColumns({"codes": F.bit_or("codes").over(by), "open": F.bit_or("open").over(by)})
+    has = lambda c, n: F.col(c).bitwiseAND(F.lit(n).cast("long")) == F.lit(n).cast("long")
+    sought = reduce(lambda x, y: x | y, (has("codes", bit(i) | bit(j)) & has("open", bit(n)) for n, (_, i, j) in enumerate(pairs)), F.lit(False))
+    found = forms.filter(sought).select("spelling", "at").join(apart(spelled), "spelling")
+    return written(found.select(F.xxhash64("p", form).alias("h"), F.xxhash64(form, "q").alias("g"), *own), folder, "held")
+
+
+def _targets(held: DataFrame, rule: Rule, sources: tuple[str, ...]) -> DataFrame:
     """``h, g, pair, lower, a, b``: the combinations that both sources of a pair hold, with the smallest node of either.
 
     A combination is aggregated once for all sources, which combines map-side; where the rule asks for a single value,
     a pair with several in its two sources is left out.
     """
-    single = [F.when(F.col(rule.single).isNotNull(), F.xxhash64(rule.single)).alias("single")] if rule.single else []
-    held = nodes.select("code", "node", *single, F.inline(_combinations(rule, number)))
     of = lambda f, c, i: f(F.when(F.col("code") == i, F.col(c))).alias(f"{f.__name__}_{c}_{i}")
     codes = range(1, len(sources) + 1)
-    sums = held.groupBy("h", "g").agg(*(of(F.min, "node", i) for i in codes), *(of(f, "single", i) for i in codes for f in (F.min, F.max) if single))
+    sums = held.groupBy("h", "g").agg(*(of(F.min, "node", i) for i in codes), *(of(f, "single", i) for i in codes for f in (F.min, F.max) if rule.single))
 
     def told(pair: int, i: int, j: int) -> Column:
         a, b = F.col(f"min_node_{i}"), F.col(f"min_node_{j}")
         both = a.isNotNull() & b.isNotNull()
-        if single:
+        if rule.single:
             both = both & F.coalesce(F.least(f"min_single_{i}", f"min_single_{j}") == F.greatest(f"max_single_{i}", f"max_single_{j}"), F.lit(True))
         return F.when(both, F.struct(F.lit(pair).alias("pair"), F.lit(i).alias("lower"), a.alias("a"), b.alias("b")))
 
@@ -157,40 +179,35 @@ def cascade(rows: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, sourc
     spelling still finds the ones matched before it, and a combination without an open record is not taken up.
     Rules are worked off one by one, so that only one rule's combinations are on disk at a time.
     """
+    spark = rows.sparkSession
     known = written(records(rows), folder, "records")
     code = F.array_position(F.array(*map(F.lit, sources)), F.col("source")).cast("int")
-    nodes = known.drop("key", "known_as").dropDuplicates(["node"]).withColumn("code", code).filter(F.col("code") > 0).withColumn("near", _near("core", "place")).select("*", "near.*").drop("near", "core", "source")
-    nodes = written(nodes, folder, "nodes")
-    # open records are kept slim: ``present`` has the pairs in which a node is open or stands, ``open`` those in which it is open
-    pairs = F.array(*(F.struct(*(F.lit(x).alias(c) for x, c in zip(p, ("pair", "i", "j")))) for p in _pairs(sources)))
-    own = F.transform(F.filter(pairs, lambda p: (p["i"] == F.col("code")) | (p["j"] == F.col("code"))), lambda p: p["pair"])
-    opened = nodes.select("node", own.alias("present"), own.alias("open"))
-    links = []
+    # a node is the hash of its source and attributes
+    nodes = written(known.withColumn("code", code).filter(F.col("code") > 0).drop("key", "known_as", "source").distinct(), folder, "nodes")
+    links, done = [], None
     for number, rule in enumerate(rules):
-        needs = nodes.select("node", "code", *{c: None for c in (*rule.on, *([rule.single] if rule.single else []))})
-        # before the first rule all records are open, so nothing is joined
-        side = (opened.join(apart(needs), "node") if links else needs.withColumns({"present": own, "open": own})).select("node", "code", "present", "open", F.inline(_combinations(rule, number)))
-        hits = side.join(apart(_targets(needs, rule, number, sources)), ["h", "g"]).filter(F.array_contains("present", F.col("pair"))).select(
-            "h", "g", "pair", "node", "a", "b", (F.col("code") == F.col("lower")).alias("low"), F.array_contains("open", F.col("pair")).alias("open"))
+        held = _held(nodes, rule, number, sources, done, folder)
+        hits = held.join(apart(_targets(held, rule, sources)), ["h", "g"]).filter((F.col("code") == F.col("lower")) | (F.col("code") == F.col("pair") % (len(sources) + 1))).select(
+            "h", "g", "pair", "node", "a", "b", (F.col("code") == F.col("lower")).alias("low"))
+        # ``done`` has the pairs in which a node is matched, and whether it is gone from them or stands for a combination
+        hits = hits.withColumn("open", F.lit(True)) if done is None else hits.join(apart(done), ["node", "pair"], "left").filter("gone IS NULL OR NOT gone").select(*hits.columns, F.isnull("gone").alias("open"))
         hits = written(hits, folder, "hits")
         sought = hits.filter("open").select("h", "g", "pair").distinct()
         met = hits.join(apart(sought), ["h", "g", "pair"], "left_semi")
         matched = written(met.select("node", "pair", F.explode(F.array("a", "b")).alias("rep"), F.when(F.col("low"), F.col("b")).otherwise(F.col("a")).alias("other")).distinct().withColumn(
             "rule", F.lit(number)), folder, "links")
         links.append(matched)
-        drop_written(rows.sparkSession, hits.path)
+        for over in (hits, held):
+            if hasattr(over, "path"):
+                drop_written(spark, over.path)
         if number + 1 < len(rules):
             # what is matched goes, but for the nodes that stand for a combination: they stay as targets
-            done = matched.groupBy("node").agg(F.collect_set("pair").alias("done"), F.collect_set(F.when(F.col("node") == F.col("rep"), F.col("pair"))).alias("stands"))
-            none = F.array().cast("array<int>")
-            gone = F.array_except(F.coalesce("done", none), F.coalesce("stands", none))
-            left = opened.join(apart(done), "node", "left").select(
-                "node", F.array_except("present", gone).alias("present"), F.array_except("open", F.coalesce("done", none)).alias("open")).filter(F.size("present") > 0)
-            before, opened = opened, written(left, folder, "open")
-            if number:
-                drop_written(rows.sparkSession, before.path)
+            before, done = done, matched.groupBy("node", "pair").agg((~F.max(F.col("node") == F.col("rep"))).alias("gone"))
+            done = written(done if before is None else before.unionByName(done).groupBy("node", "pair").agg(F.max("gone").alias("gone")), folder, "open")
+            if before is not None:
+                drop_written(spark, before.path)
         # shuffle files of a rule done go only when the driver collects its garbage
-        rows.sparkSession.sparkContext._jvm.System.gc()
+        spark.sparkContext._jvm.System.gc()
     every = reduce(DataFrame.unionByName, links)
     titles = rows.sparkSession.createDataFrame([(i, r.name) for i, r in enumerate(rules)], "rule int, rule_name string")
     if evidence is None:
@@ -214,13 +231,12 @@ def matched_records(rows: DataFrame, rules: tuple[Rule, ...] = RULES, sources: t
     folder = work_dir(rows.sparkSession)
     known, links, precisions = cascade(rows, folder, rules, sources, evidence)
     groups = connected_components(links.select(F.col("node").alias("a"), F.col("rep").alias("b")), folder)
-    best = links.groupBy("node").agg(F.min("rule").alias("rule"))
-    told = best.join(small(precisions), "rule").select("node", "rule_name", "confidence")
-    return (
-        known.select("key", "source", "node").distinct().join(small(groups.withColumnRenamed("node", "n"), groups), F.col("node") == F.col("n"), "left")
-        .withColumn("entity", F.coalesce("component", "node")).join(apart(told), "node", "left")
-        .groupBy("key", "source", "entity").agg(F.max_by("rule_name", "confidence").alias("rule_name"), F.max("confidence").alias("confidence"))
-    )
+    best = links.groupBy("node").agg(F.min("rule").alias("rule")).join(small(precisions), "rule").select("node", "rule", "confidence")
+    # joined by node first, of which there are fewer than records
+    told = best.join(small(groups, groups), "node", "left").select("node", "component", "rule", "confidence")
+    members = known.select("key", "source", "node").join(apart(told), "node", "left").groupBy("key", "source", F.coalesce("component", "node").alias("entity")).agg(
+        F.max_by("rule", "confidence").alias("rule"), F.max("confidence").alias("confidence"))
+    return members.join(small(precisions.select("rule", "rule_name"), precisions), "rule", "left").select("key", "source", "entity", "rule_name", "confidence")
 
 
 def cross_source_pairs(members: DataFrame, *, sources: tuple[str, ...] = SOURCES) -> DataFrame:
@@ -229,7 +245,7 @@ def cross_source_pairs(members: DataFrame, *, sources: tuple[str, ...] = SOURCES
     Joined on entity and the partner's source, so an entity that fills a third of one source
     and is missing from the others costs nothing.
     """
-    m = members.select("key", "source", "entity").distinct()
+    m = written(members.select("key", "source", "entity").distinct(), work_dir(members.sparkSession), "members")
     a = m.withColumn("partner", F.explode(F.filter(F.array(*map(F.lit, sources)), lambda x: x > F.col("source")))).select(F.col("key").alias("x"), "entity", F.col("partner").alias("source"))
     pairs = a.join(apart(m.select(F.col("key").alias("y"), "entity", "source")), ["entity", "source"]).filter(F.col("x") != F.col("y"))
     return pairs.select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()

@@ -95,8 +95,10 @@ def _with_mapped_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = rows.filter(blank & F.col("lat").isNotNull()).select(spot.alias("spot"), "lat", "lng").distinct()
     mapped = containing_region(points, regions, id="spot").select(F.col("id").alias("spot"), "region").join(
         regions.select(F.col("region_id").alias("region"), F.col("state").alias("mapped")), "region").drop("region")
-    return rows.withColumn("spot", spot).join(mapped, "spot", "left").withColumn(
-        "state", F.when(blank, F.coalesce("mapped", F.lit(""))).otherwise(F.col("state"))).drop("spot", "mapped", "lat", "lng")
+    # only rows without a state are joined
+    filled = rows.filter(blank).withColumn("spot", spot).join(mapped, "spot", "left").withColumn("state", F.coalesce("mapped", F.lit("")))
+    columns = ("key", "source", "organization", "street", "city", "state")
+    return rows.filter(~blank).select(*columns).unionByName(filled.select(*columns))
 
 
 def _host(site: str) -> Column:
@@ -106,21 +108,25 @@ def _host(site: str) -> Column:
 def registry_hosts(orgs: DataFrame) -> DataFrame:
     """``known_as, token``: the hosts of the usable sites and addresses of each registry key."""
     mail = F.when(email_rejection(F.col("email")) == "", email_domain(F.col("email"))).otherwise("")
-    return orgs.select(F.col("key").alias("known_as"), F.explode(F.array(_host("website"), mail)).alias("token")).filter(F.col("known_as").isNotNull() & (F.col("token") != "")).distinct()
+    # made before they are exploded: code is generated for a selection, not for what a generator holds
+    made = orgs.select(F.col("key").alias("known_as"), _host("website").alias("host"), mail.alias("mail"))
+    return made.select("known_as", F.explode(F.array("host", "mail")).alias("token")).filter(F.col("known_as").isNotNull() & (F.col("token") != "")).distinct()
 
 
 def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each production's organization over all sources, with rule and confidence."""
     # evidence stands under the registry key and, for a listing's own site, under the production key
     known_as = F.array(org_key(F.col("organization"), F.col("city"), F.col("state")), F.concat(F.lit("key:"), "key"))
-    own = table(spark, sf_dir, "productions").select(F.concat(F.lit("key:"), "key").alias("known_as"), _host("org_website").alias("token")).filter("token <> '' AND known_as IS NOT NULL").distinct()
+    own = table(spark, sf_dir, "productions").filter("org_website <> '' AND key IS NOT NULL").select(F.concat(F.lit("key:"), "key").alias("known_as"), "org_website").distinct().select(
+        "known_as", _host("org_website").alias("host")).select("known_as", F.explode(F.array("host")).alias("token")).filter("token <> ''").distinct()
     evidence = registry_hosts(table(spark, sf_dir, "organizations")).unionByName(own)
     return entity_match.matched_records(_with_mapped_state(spark, sf_dir).withColumn("known_as", known_as), evidence=evidence)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of productions of different sources that one organization puts on."""
-    return entity_match.cross_source_pairs(p3_links(spark, sf_dir))
+    # a record that no rule linked is its own organization
+    return entity_match.cross_source_pairs(p3_links(spark, sf_dir).filter("rule_name IS NOT NULL"))
 
 
 QUERIES = {

@@ -115,6 +115,29 @@ def test_cascade_keeps_no_combinations(spark):
     assert left == {"records", "nodes", "open", "links", "measures"}
 
 
+def test_near_forms_of_matched_records_are_not_gone_into(spark, monkeypatch):
+    """Only combinations that two sources hold and an open record too are written, and they are those of all forms."""
+    rules = (entity_match.Rule("name, place", ("name", "place")), entity_match.Rule("near name, kind, place", ("near_core", "sort", "place")))
+    rnd, schema = random.Random(5), "key string, source string, organization string, street string, city string, state string"
+    monkeypatch.setattr(entity_match, "drop_written", lambda *_: None)
+    rows = [(f"{s}{i}", s, f"{n} Players", "", "Exampleton", "TX") for i, n in enumerate(("Sampleton", "Grandmoor", "Tradeshaw")) for s in ("mti", "concord")]
+    folder = work_dir(spark)
+    entity_match.cascade(spark.createDataFrame(rows, schema), folder, rules)
+    assert spark.read.parquet(f"{folder}/hits-*").count() == len(rows)
+    spelt = ["".join(rnd.choice("xz") for _ in range(rnd.randrange(5, 9))) for _ in range(30)]
+    rows = [(f"k{i}", rnd.choice(["mti", "concord", "trw"]), f"{n} Players", "", "Exampleton", "TX") for i, n in enumerate(spelt)]
+    known, links, _ = entity_match.cascade(spark.createDataFrame(rows, schema), work_dir(spark), rules[1:])
+    nodes = {(r.node, r.source, r.core) for r in known.collect()}
+    want = set()
+    for form in {f for _, _, core in nodes for f in canon.deletions(core)}:
+        of = {s: [n for n, x, core in nodes if x == s and form in canon.deletions(core)] for s in entity_match.SOURCES}
+        for x, y in (("concord", "mti"), ("concord", "trw"), ("mti", "trw")):
+            if of[x] and of[y]:
+                a, b = min(of[x]), min(of[y])
+                want |= {(n, rep, b if n in of[x] else a) for n in of[x] + of[y] for rep in (a, b)}
+    assert want and {(r.node, r.rep, r.other) for r in links.collect()} == want
+
+
 def test_history(spark):
     day = lambda n: datetime(2026, 7, n, 5)
     d = lambda m, n: date(2026, m, n)
