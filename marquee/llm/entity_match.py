@@ -72,7 +72,9 @@ def records(rows: DataFrame) -> DataFrame:
     text = lambda c: strip(F.col(c)).alias(c)
     known_as = F.col("known_as") if "known_as" in rows.columns else F.lit(None).cast("array<string>").alias("known_as")
     raw = rows.select("key", "source", known_as, text("organization"), text("street"), text("city"), state_code(F.col("state")).alias("state")).filter(
-        F.col("key").isNotNull() & F.col("source").isNotNull() & (F.col("organization") != "")).distinct()
+        F.col("key").isNotNull() & F.col("source").isNotNull() & (F.col("organization") != ""))
+    # an organization's rows come together, so a worker takes each of its spellings apart once
+    raw = raw.repartition("organization", "city").distinct()
     some = lambda c: F.when(c != "", c)
     p = F.col("p")
     parts = raw.withColumn("p", names.name_parts("organization")).withColumn("place", names.locality("city")).withColumn("site", names.building("street"))
