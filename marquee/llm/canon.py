@@ -42,6 +42,8 @@ PLACE = {
 
 def plain(text: str | None) -> str:
     """Lower case without accents."""
+    if text and text.isascii():
+        return text.lower()
     text = unicodedata.normalize("NFKD", text or "")
     return "".join(c for c in text if not unicodedata.combining(c)).lower()
 

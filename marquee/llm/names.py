@@ -8,6 +8,8 @@ then verifies the candidates.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,6 +110,11 @@ def segment_join(rows: DataFrame, id: str, text: str, block: list[str], folder:
     lookups = F.array_compact(F.array(*(F.when(when, entry(length, i, s)) for when, length, i, s in _probed(t, n, most))))
     probe = texts.select(F.col("tid").alias("r"), F.explode(F.array_distinct(lookups)).alias("entry"))
     met = index.join(apart(probe), "entry").filter(F.col("l") != F.col("r")).select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r")).distinct()
+    return _near_texts(texts, met, most)
+
+
+def _near_texts(texts: DataFrame, met: DataFrame, most: int) -> DataFrame:
+    """``a, b``: ids of those of the pairs ``l, r`` of texts of one block that are within their allowed edits."""
     side = lambda c: apart(texts.select(F.col("tid").alias(c), F.struct("block", "t", "n", "rep").alias(f"{c}x")))
     pairs = met.join(side("l"), "l").join(side("r"), "r").select(
         F.col("lx.t").alias("lt"), F.col("rx.t").alias("rt"), F.col("lx.rep").alias("lrep"), F.col("rx.rep").alias("rrep"),
@@ -119,14 +126,51 @@ def segment_join(rows: DataFrame, id: str, text: str, block: list[str], folder:
     return near.select(F.least("lrep", "rrep").alias("a"), F.greatest("lrep", "rrep").alias("b")).distinct()
 
 
-def likelier_texts(rows: DataFrame, text: str, block: list[str], folder: str | None = None) -> DataFrame:
+@batch_udf("array<string>")
+def _lacking(texts: pd.Series, most: pd.Series) -> pd.Series:
+    """Beginnings of each text that lack up to so many letters."""
+
+    def of(text: str, k: int) -> list[str]:
+        found = {text[:LETTERS]}
+        for _ in range(k):
+            found = {f for form in found for f in canon.deletions(form)}
+        return sorted(found)
+
+    return pd.Series([of(t, k) for t, k in zip(texts, most)], dtype=object)
+
+
+#: Letters of a text whose forms are indexed by :func:`deletion_join`.
+LETTERS = 12
+
+
+def deletion_join(rows: DataFrame, id: str, text: str, block: list[str], folder: str | None = None, *, most: int = 2) -> DataFrame:
+    """The pairs of :func:`segment_join`, found by forms that lack letters.
+
+    Texts within ``k`` edits, swaps included, share a form that lacks up to ``k`` letters of either
+    one's beginning. A text has more forms than segments (up to 13 under 12 letters, 79 from there on), but hardly any
+    two texts share one that are not near. So this is for blocks with many texts of common parts, such as all place
+    names: there the pairs that share a segment grow as the square of the texts.
+    """
+    folder = folder or work_dir(rows.sparkSession)
+    base = rows.filter(F.coalesce(F.length(text), F.lit(0)) > 0)
+    for c in block:
+        base = base.filter(F.col(c).isNotNull())
+    texts = base.groupBy(F.xxhash64(*block).alias("block"), F.col(text).alias("t")).agg(F.min(id).alias("rep"))
+    texts = texts.withColumn("n", F.length("t")).filter(allowed_edits(F.col("n"), most) > 0).withColumn("tid", F.xxhash64("block", "t"))
+    texts = written(texts, folder, "texts")
+    forms = texts.select("tid", "block", _lacking("t", allowed_edits(F.col("n"), most)).alias("forms")).select("tid", F.explode(F.transform("forms", lambda f: F.xxhash64("block", f))).alias("entry"))
+    met = forms.withColumnRenamed("tid", "l").join(apart(forms.withColumnRenamed("tid", "r")), "entry").filter(F.col("l") < F.col("r")).select("l", "r").distinct()
+    return _near_texts(texts, met, most)
+
+
+def likelier_texts(rows: DataFrame, text: str, block: list[str], folder: str | None = None, *, join: Callable = segment_join) -> DataFrame:
     """``*block, text, likelier``: each distinct text that has commoner ones within its allowed edits, and these.
 
     Of two near texts only the rarer one names the other (equal counts: the greater string), so a
     common text lists nothing, however many slips of it there are, and any near pair shares a text.
     """
     counted = rows.filter(F.coalesce(F.length(text), F.lit(0)) > 0).groupBy(*block, text).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(0))
-    pairs = segment_join(counted.withColumn("_id", F.struct((-F.col("_n")).alias("n"), text, *block)), "_id", text, block or ["_all"], folder)
+    pairs = join(counted.withColumn("_id", F.struct((-F.col("_n")).alias("n"), text, *block)), "_id", text, block or ["_all"], folder)
     return pairs.select(*(F.col("b")[c].alias(c) for c in (*block, text)), F.col("a")[text].alias("_a")).groupBy(*block, text).agg(F.sort_array(F.collect_set("_a")).alias("likelier"))
 
 

@@ -9,13 +9,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def batch_udf(returns: str) -> Callable:
-    """As ``pandas_udf`` with a DDL type, but importable where no session exists yet."""
+def batch_udf(returns: str, *, once: bool = False) -> Callable:
+    """As ``pandas_udf`` with a DDL type, but importable where no session exists yet.
+
+    With ``once`` the optimizer may not repeat it, as it does for a filter on its result that it moves below.
+    """
 
     def wrap(function: Callable) -> Callable[..., Column]:
         @wraps(function)
         def call(*columns) -> Column:
-            return F.pandas_udf(function, returns)(*columns)
+            made = F.pandas_udf(function, returns)
+            return (made.asNondeterministic() if once else made)(*columns)
 
         return call
 

@@ -202,3 +202,49 @@ def test_history_goes_on_in_a_new_index(spark):
     third = history.HistoryIndex(spark, folder, weights)
     third.accept(batch(telling(40, "mti:1", 1)))
     assert {(r.seq_a, r.seq_b) for r in third.duplicates().collect()} == {(5, 10), (5, 20), (5, 30), (5, 40)}
+
+
+def test_deletion_join_finds_what_the_segment_join_finds(spark):
+    draw = random.Random(7)
+    slip = lambda t: (lambda i: draw.choice((t[:i] + t[i + 1 :], t[:i] + "x" + t[i:], t[:i] + t[i + 1 : i + 2] + t[i : i + 1] + t[i + 2 :])))(draw.randrange(len(t)))
+    first = ["".join(draw.choice("abcd") for _ in range(draw.randrange(2, 12))) + draw.choice(("", "ford", "wick", "field")) for _ in range(60)]
+    texts = sorted({*first, *map(slip, first), *(slip(slip(t)) for t in first)} - {""})
+    rows = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate([*texts, *texts[::2]])], "i long, t string, b int")
+    found = lambda join: {tuple(r) for r in join(rows, "i", "t", ["b"]).collect()}
+    assert len(found(names.segment_join)) > 20 and found(names.deletion_join) == found(names.segment_join)
+
+
+def test_addresses_by_pairs_or_by_forms(spark):
+    schema = "id string, address string, city string, lat string, lng string"
+    make = lambda rows, folder: addresses.address_records(spark.createDataFrame([(i, a, "Exampleton", None, None) for i, a in rows], schema), folder, id="id", address="address", city="city", lat="lat", lng="lng")
+    left = [("a", "12 Barsckhol St"), ("b", "12 Old Samlpe Rd"), ("c", "12 7th Ave"), ("d", "12 Of The Old Oak Inn Yard"), ("e", "Low Rd & High St"), ("f", "12 Mangrove Ln"), ("g", "13 Elm St")]
+    right = [("1", "12 Bareckhlo Str"), ("2", "12 Old Smaple Rd"), ("3", "12 Seventh Ave"), ("4", "12 Of The Old Oak Inn"), ("5", "High St & Low Rd"), ("6", "12 Magnolia Ln"), ("7", "14 Elm St")]
+
+    def got(pair_cost: float) -> set[tuple[str, str]]:
+        folder = work_dir(spark)
+        return {(r.id_l, r.id_r) for r in addresses.same_building(make(left, folder), make(right, folder), folder, pair_cost=pair_cost).collect()}
+
+    # short words that make up most of a street are found by its forms too
+    assert got(0) == got(1e9) == {("a", "1"), ("b", "2"), ("c", "3"), ("d", "4"), ("e", "5")}
+
+
+def test_addresses_are_parsed_once(spark, monkeypatch):
+    plans, keep = {}, addresses.written
+
+    def seen(df, folder, name, *more, **options):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, folder, name, *more, **options)
+
+    monkeypatch.setattr(addresses, "written", seen)
+    rows = spark.createDataFrame([("a", "12 Sample St", "Exampleton", None, None), ("b", "Hall", "Exampleton", None, None)], "id string, address string, city string, lat string, lng string")
+    assert {(r.id_l, r.id_r) for r in addresses.match_addresses(rows, rows).collect()} == {("a", "a")}
+    assert plans["addresses"].count("ArrowEvalPython") == 1
+
+
+def test_places_with_common_parts_do_not_meet(spark, monkeypatch):
+    met, near = [], names._near_texts
+    monkeypatch.setattr(names, "_near_texts", lambda texts, pairs, most: (met.append(pairs.count()), near(texts, pairs, most))[1])
+    towns = [f"{t}wick" for t in ("alber", "corin", "dunam", "edgem", "farol", "gilda", "hosto", "ivern")] + ["alebrwick"]
+    rows = spark.createDataFrame([(t, "5 High Street", t, None, None) for t in towns], "id string, address string, city string, lat string, lng string")
+    assert {(r.id_l, r.id_r) for r in addresses.match_addresses(rows, rows).collect()} == {*((t, t) for t in towns), ("alberwick", "alebrwick"), ("alebrwick", "alberwick")}
+    assert met == [1]
