@@ -63,7 +63,7 @@ def _forms(names: pd.Series) -> pd.Series:
     return names.map(street_forms)
 
 
-@batch_udf("double")
+@batch_udf("double", once=True)
 def _assignment(a: pd.Series, b: pd.Series) -> pd.Series:
     split = lambda n: tuple(re.split(r"[ /]", n))
     return pd.Series([1.0 if x == y else canon.assigned(split(x), split(y)) for x, y in zip(a, b)], dtype=float)
@@ -125,9 +125,13 @@ def _near_streets(index_l: DataFrame, index_r: DataFrame, folder: str, pair_cost
     paired = side["l"].filter("few").drop("few").join(apart(side["r"].filter("few").drop("few")), "entry")
     spelled = lambda tag: side[tag].filter("not few").select("entry", f"name_{tag}", F.explode(_forms(f"name_{tag}")).alias("form"))
     met = paired.unionByName(spelled("l").join(apart(spelled("r")), ["entry", "form"]).select("entry", "name_l", "name_r").distinct())
-    # two single words must be within two edits, so within four where a swap counts as two
-    single = ~F.col("name_l").rlike("[ /]") & ~F.col("name_r").rlike("[ /]")
-    met = met.filter((F.col("name_l") == F.col("name_r")) | ~single | (F.levenshtein("name_l", "name_r", 4) >= 0))
+    # letters of words that have one within the assignment's edits (twice as many where a swap is two) on the other side: at most these match
+    words = lambda tag: F.split(f"name_{tag}", "[ /]")
+    shorter = lambda x, y: F.least(F.length(x), F.length(y))
+    close = lambda x, y: (x == y) | F.levenshtein(x, y, 4).between(0, F.when(shorter(x, y) < 4, 0).when(shorter(x, y) < 6, 2).otherwise(4))
+    hopeful = F.filter(words("l"), lambda x: F.exists(words("r"), lambda y: close(x, y)))
+    most = F.aggregate(hopeful, F.lit(0), lambda n, x: n + F.length(x))
+    met = met.filter((F.col("name_l") == F.col("name_r")) | (most >= LEAST * (F.length("name_l") - F.size(words("l")) + 1) - 1e-9))
     return met.filter(_assignment("name_l", "name_r") >= LEAST)
 
 
